@@ -1,0 +1,53 @@
+"""Tables in the folder that all executors share (``spark.checkpoint.dir``).
+
+Operators cut lineage by writing a table there and reading it back, so a lost
+executor costs only the tasks it was running. Where the setting is absent (tests
+on one machine) a temporary folder takes its place.
+"""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder; set on the session first if nobody has."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        root = tempfile.mkdtemp(prefix="docgraph-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return root.rstrip("/")
+
+
+def new_folder(spark: SparkSession, operator: str) -> str:
+    """A folder of its own for one run of an operator."""
+    return f"{shared_root(spark)}/docgraph/{operator}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under ``folder`` and return the table read back."""
+    path = f"{folder}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, folder: str, name: str, buckets: int, *keys: str, codec: str = "snappy") -> DataFrame:
+    """As :func:`materialise`, bucketed by ``keys``: later joins on them need no shuffle."""
+    spark = df.sparkSession
+    table = f"{name}_{uuid.uuid4().hex}"
+    (
+        df.write.format("parquet")
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .option("path", f"{folder}/{name}")
+        .option("compression", codec)
+        .saveAsTable(table)
+    )
+    return spark.table(table)
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
