@@ -126,17 +126,22 @@ def dropped_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_documents:
     return found.groupBy("doc_id").agg(F.collect_set(F.struct(*_KEY)).alias("drop"))
 
 
+def _kept(text: Column, drop: Column, min_length: int) -> Column:
+    return F.filter(lines_of(text), lambda line: (F.length(line) < min_length) | ~F.array_contains(drop, key_hash(line_key(line))))
+
+
+def without(text: Column, drop: Column, min_length: int = MIN_LENGTH) -> Column:
+    """``text`` less the lines whose hashes are in ``drop``."""
+    return F.array_join(_kept(text, drop, min_length), "\n")
+
+
 def line_dedup(docs: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """doc_id, n_lines, n_dropped and ``kept_text`` for each row of ``docs``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.join(dropped_lines(docs, min_length, min_documents), "doc_id", "left")
-
-    def stays(line: Column) -> Column:
-        return (F.length(line) < min_length) | ~F.array_contains(F.col("drop"), key_hash(line_key(line)))
-
-    kept = F.filter(lines_of(F.col("text")), stays)
     n_lines = (F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1).cast("long")
-    rows = rows.withColumn("kept", F.when(F.col("drop").isNotNull(), kept)).withColumn("n_lines", n_lines)
+    kept = F.when(F.col("drop").isNotNull(), _kept(F.col("text"), F.col("drop"), min_length))
+    rows = rows.withColumn("kept", kept).withColumn("n_lines", n_lines)
     return rows.select(
         "doc_id",
         "n_lines",

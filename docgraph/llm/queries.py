@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import bpe, exact_dedup, language_id, license_scan, line_dedup, ogg, warc
+from docgraph.llm import bpe, exact_dedup, language_id, license_scan, line_dedup, near_dup, ogg, packing, quality, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(_documents(spark, sf_dir))
 
@@ -48,6 +52,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(_documents(spark, sf_dir), words=4)
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     decoded = bpe.decode(bpe.encode(_documents(spark, sf_dir), path, pattern), path, pattern)
@@ -61,8 +73,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_ogg_media,
         op3_language_id,
         op4_line_dedup,
+        op5_quality,
         op6_license_scan,
         op7_warc,
+        op8_near_dup,
+        op9_packing,
         op10_bpe,
     )
 }
@@ -91,4 +106,16 @@ ORACLES: dict[str, str] = {
                CASE WHEN n >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN n >= 100 AND page_id <> first THEN first END AS refers_to
         FROM f""",
+    "op8_near_dup": r"""
+        WITH RECURSIVE w AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+        e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+        r(node, reached) AS (SELECT doc_id, doc_id FROM documents UNION SELECT node, b FROM r JOIN e ON e.a = reached),
+        c AS (SELECT node AS doc_id, min(reached) AS component_id FROM r GROUP BY node)
+        SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)""",
 }
