@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docgraph.llm import language_id, line_dedup, near_dup, packing, quality, scratch
+from docgraph.llm import language_id, line_dedup, near_dup, packing, quality
+from docgraph.sources import scratch
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document goes whose best language is less likely than this.

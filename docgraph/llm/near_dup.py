@@ -32,8 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docgraph.llm import scratch
-from docgraph.llm.components import components
+from docgraph.sources import scratch
+from docgraph.operators.components import components
 
 SHINGLE_WORDS = 5
 #: Similarity as a percentage.
