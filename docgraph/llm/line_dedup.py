@@ -105,7 +105,7 @@ def repeated_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_documents:
     folder = scratch.new_folder(spark, "line_dedup")
     runs = Runs(folder, scratch.shuffle_partitions(spark))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
-    cuts = docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01)
+    cuts = docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     bounds = [None, *sorted({int(c) for c in cuts}), None]
     for low, high in reversed(list(zip(bounds, bounds[1:], strict=False))):
         part = docs
