@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 PER_LANGUAGE = 4000
+#: Languages that are learned at most, the most frequent ones: what bounds the table of shares.
+MAX_LANGUAGES = 1000
 MAX_WORDS = 100_000
 MAX_GRAMS = 60_000
 LONGEST = 5
@@ -122,10 +124,11 @@ class Model:
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
     """Fit on the rows of ``docs`` (doc_id, text, lang) that are not held out."""
     usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    # Share of each language's rows to take, compared with a hash of doc_id in [0, 1).
-    share = usable.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("share"))
+    counts = usable.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    # Share of each language's rows to take, compared with a hash of doc_id in [0, 1). Bounded, so texts need no shuffle.
+    share = docs.sparkSession.createDataFrame([(r["lang"], per_language / r["n"]) for r in counts], "lang string, share double")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    sample = usable.select("lang", "text", place.alias("place")).join(share, "lang").filter("place < share").select("lang", "text")
+    sample = usable.select("lang", "text", place.alias("place")).join(F.broadcast(share), "lang").filter("place < share").select("lang", "text")
     words = sample.mapInArrow(_count_words, _COUNT_DDL).groupBy("lang", "token").agg(F.sum("n").alias("n")).persist()
     try:
         kept = _most_frequent(words, max_words)
