@@ -160,7 +160,7 @@ def reply_rows(reply: Column) -> Column:
 @F.pandas_udf(T.StringType())
 def two_places(values: pd.Series) -> pd.Series:
     """Two decimals of the binary value, halves to even."""
-    return values.map(lambda x: None if x is None else f"{x:.2f}")
+    return values.map(lambda x: None if pd.isna(x) else f"{x:.2f}")
 
 
 def title_of(html: str) -> str:

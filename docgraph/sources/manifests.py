@@ -47,9 +47,10 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_submissions(spark: SparkSession, path: str) -> DataFrame:
     """slug, error, source: one row per manifest; the slug is the file's stem."""
-    files = spark.read.text(path, wholetext=True, pathGlobFilter="*.yaml")
-    stem = F.regexp_replace(F.element_at(F.split("_metadata.file_path", "/"), -1), r"\.[^.]*$", "")
-    rows = files.select(stem.alias("slug"), F.col("value").alias("text")).filter(~F.startswith("slug", F.lit("_")))
+    # As bytes: a text scan has no row for an empty file.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.yaml").load(path)
+    stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
+    rows = files.select(stem.alias("slug"), F.decode("content", "utf-8").alias("text")).filter(~F.startswith("slug", F.lit("_")))
     return rows.mapInPandas(_parse, T.StructType.fromDDL("slug string, error string").add("source", T.StructType.fromDDL(SOURCE_DDL)))
 
 
