@@ -47,7 +47,7 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def read_submissions(spark: SparkSession, path: str) -> DataFrame:
     """slug, error, source: one row per manifest; the slug is the file's stem."""
-    # As bytes: a text scan has no row for an empty file.
+    # Spark passes over files of no bytes; one of blanks alone is an empty manifest.
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.yaml").load(path)
     stem = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.[^.]*$", "")
     rows = files.select(stem.alias("slug"), F.decode("content", "utf-8").alias("text")).filter(~F.startswith("slug", F.lit("_")))

@@ -257,7 +257,7 @@ def test_scenes(spark):
 
 
 def test_submissions(spark, tmp_path):
-    texts = {"ok": "source: {title: T, type: pdf, url: 'http://x', date_added: 2024-01-01, tags: [a], processing: {scale: 2}}", "bad": "source: [", "empty": "", "none": "x: 1", "lacks": "source: {title: '', type: index, date_added: '2024-01-01'}", "_schema": "a: 1"}
+    texts = {"ok": "source: {title: T, type: pdf, url: 'http://x', date_added: 2024-01-01, tags: [a], processing: {scale: 2}}", "bad": "source: [", "empty": " \n", "none": "x: 1", "lacks": "source: {title: '', type: index, date_added: '2024-01-01'}", "_schema": "a: 1"}
     for name, text in texts.items():
         (tmp_path / f"{name}.yaml").write_text(text)
     rows = manifests.read_submissions(spark, str(tmp_path))
