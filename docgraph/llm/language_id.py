@@ -76,49 +76,76 @@ def _count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"lang": [k[0] for k in counts], "token": [k[1] for k in counts], "n": list(counts.values())}, schema=pa.schema([("lang", pa.string()), ("token", pa.string()), ("n", pa.int64())]))
 
 
+class Table:
+    """Log frequencies by language: ``rows[at[token]]``."""
+
+    def __init__(self, langs: list[str], counts: list[tuple[str, str, int]]) -> None:
+        column = {lang: i for i, lang in enumerate(langs)}
+        self.at: dict[str, int] = {}
+        for _, token, _ in counts:
+            self.at.setdefault(token, len(self.at))
+        rows = np.zeros((len(self.at), len(langs)))
+        for lang, token, n in counts:
+            rows[self.at[token], column[lang]] += n
+        self.rows = np.log((rows + SMOOTHING) / (rows.sum(axis=0) + SMOOTHING * len(rows)))
+
+
 class Model:
     """Log frequencies by language of known words and n-grams."""
 
     def __init__(self, words: list[tuple[str, str, int]], grams_: list[tuple[str, str, int]]) -> None:
         self.langs = sorted({lang for lang, _, _ in words})
-        self.words = self._table(words)
+        self.words = Table(self.langs, words)
         by_length = defaultdict(list)
         for row in grams_:
             by_length[len(row[1])].append(row)
-        self.grams = {n: self._table(rows) for n, rows in by_length.items()}
-
-    def _table(self, rows: list[tuple[str, str, int]]) -> dict[str, np.ndarray]:
-        at = {lang: i for i, lang in enumerate(self.langs)}
-        counts: dict[str, np.ndarray] = {}
-        for lang, token, n in rows:
-            counts.setdefault(token, np.zeros(len(self.langs)))[at[lang]] += n
-        total = sum(counts.values()) + SMOOTHING * len(counts)
-        return {token: np.log((c + SMOOTHING) / total) for token, c in counts.items()}
-
-    def word_scores(self, word: str) -> np.ndarray:
-        known = self.words.get(word)
-        if known is not None:
-            return known
+        self.grams = {n: Table(self.langs, rows) for n, rows in by_length.items()}
+
+    def backed_off(self, word: str) -> np.ndarray:
+        """The scores of a word that training hasn't seen."""
         for n in range(LONGEST, 0, -1):
-            table = self.grams.get(n, {})
-            found = [table[g] for g in grams(word, n) if g in table]
+            table = self.grams.get(n)
+            found = [table.at[g] for g in grams(word, n) if g in table.at] if table else []
             if found:
-                return np.mean(found, axis=0) + (LONGEST + 1 - n) * math.log(BACKOFF)
+                return table.rows[found].sum(axis=0) / len(found) + (LONGEST + 1 - n) * math.log(BACKOFF)
         return np.zeros(len(self.langs))
 
-    def predict(self, counts: dict[str, int], memo: dict[str, np.ndarray]) -> tuple[str, float]:
-        if not counts or not self.langs:
+
+class Predictor:
+    """A model with the rows of unknown words that it has met, within a bound."""
+
+    def __init__(self, model: Model, most: int = 200_000) -> None:
+        self.model, self.most = model, most
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at = dict(self.model.words.at)
+        self.rows = np.zeros((len(self.at) + self.most, len(self.model.langs)))
+        self.rows[: len(self.at)] = self.model.words.rows
+
+    def _row(self, word: str) -> int:
+        at = self.at.get(word)
+        if at is None:
+            at = self.at[word] = len(self.at)
+            self.rows[at] = self.model.backed_off(word)
+        return at
+
+    def predict(self, text: str | None) -> tuple[str, float]:
+        counts = Counter(_WORD.findall(text.lower())) if text else {}
+        if not counts or not self.model.langs:
             return "und", 0.0
-        rows = []
-        for word in counts:
-            row = memo.get(word)
-            if row is None:
-                row = memo[word] = self.word_scores(word)
-            rows.append(row)
-        total = np.fromiter(counts.values(), float, len(counts)) @ np.array(rows)
+        total = np.zeros(len(self.model.langs))
+        words = list(counts)
+        # A long text goes in parts, each of which the rows have room for.
+        for begin in range(0, len(words), self.most):
+            part = words[begin : begin + self.most]
+            if len(self.at) + len(part) > len(self.rows):
+                self._forget()
+            ids = [self._row(w) for w in part]
+            total += np.array([counts[w] for w in part], float) @ self.rows[ids]
         odds = np.exp(total - total.max())
         best = int(np.argmax(odds))
-        return self.langs[best], float(odds[best] / odds.sum())
+        return self.model.langs[best], float(odds[best] / odds.sum())
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS) -> Model:
@@ -150,11 +177,9 @@ _PREDICTED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang
 
 def _predict(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo: dict[str, np.ndarray] = {}
+        predictor = Predictor(model)
         for batch in batches:
-            if len(memo) > 300_000:
-                memo.clear()
-            out = [model.predict(Counter(_WORD.findall(text.lower())) if text else {}, memo) for text in batch.column(2).to_pylist()]
+            out = [predictor.predict(text) for text in batch.column(2).to_pylist()]
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], schema=_PREDICTED)
 
     return run

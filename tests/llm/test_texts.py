@@ -27,11 +27,13 @@ def test_language_held_out_accuracy(spark, sf_dir):
 
 def test_language_backoff():
     model = language_id.Model([("en", "thing", 5), ("de", "ding", 5)], [("en", "th", 9), ("de", "di", 9), ("de", "d", 3), ("en", "t", 3)])
-    assert model.predict({"thing": 1}, {})[0] == "en"
-    assert model.predict({"thump": 1}, {})[0] == "en"  # by its two first letters
-    assert model.predict({"dab": 1}, {})[0] == "de"  # by a single letter
-    assert model.predict({"xyz": 1}, {}) == ("de", 0.5)  # nothing known: the first in order
-    assert language_id.Model([], []).predict({"a": 1}, {}) == ("und", 0.0)
+    predict = language_id.Predictor(model, most=2).predict
+    assert predict("thing")[0] == "en"
+    assert predict("thump")[0] == "en"  # by its two first letters
+    assert predict("dab")[0] == "de"  # by a single letter
+    assert predict("xyz") == ("de", 0.5)  # nothing known: the first in order
+    assert predict("thump thing thaw dab than xyz ding thud")[0] == "en"  # more words than there is room for
+    assert language_id.Predictor(language_id.Model([], [])).predict("a") == ("und", 0.0)
 
 
 def test_language_odd_rows(spark):
