@@ -180,7 +180,7 @@ def verdict_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Fragments: an order is a source; its title names one of its lines' brands, or nothing in it.
 def _fragment(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows = p.base(spark, sf_dir).filter("ok % 5 = 0")
+    rows = p.base(spark, sf_dir)
     title = F.when(F.col("ok") % 3 == 0, F.concat(F.lit("Wikipedia: "), F.lower("work"))).when(F.col("ok") % 3 == 1, F.concat(F.lit("A note on "), "place", F.lit(" and others"))).otherwise(F.concat(F.lit("PEAR: 1995 - Report "), F.col("ok").cast("string")))
     sources = rows.groupBy("source").agg(F.min(F.struct(*p.KEYS, title.alias("title")))["title"].alias("title"))
     kinds = [("work", "WORK_OF_ART", "creativework"), ("place", "GPE", "place"), ("organization", "ORG", "organization")]
@@ -191,7 +191,7 @@ def _fragment(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
 
 
 _FRAGMENT_SQL = f"""{p.BASE_SQL},
-fb AS (SELECT * FROM base WHERE ok % 5 = 0),
+fb AS (SELECT * FROM base),
 src AS (SELECT source, CASE ok % 3 WHEN 0 THEN 'Wikipedia: ' || lower(work) WHEN 1 THEN 'A note on ' || place || ' and others' ELSE 'PEAR: 1995 - Report ' || ok END AS title
         FROM fb QUALIFY row_number() OVER (PARTITION BY source ORDER BY ok, ln, pk, sk, ep) = 1),
 ent0 AS (SELECT source, 'entity:creativework-' || {p.slug_sql("work")} AS id, 'CreativeWork' AS type, work AS name, ok, ln, pk, sk, ep, 0 AS pos FROM fb

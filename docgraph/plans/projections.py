@@ -158,21 +158,21 @@ def dirty(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     months = t("orders").select(month.alias("m")).distinct()
     shown = F.when(F.month("m") == 1, "some January").otherwise(F.date_format("m", "MMMM yyyy"))
     nodes = nodes.union(months.select(F.concat(F.lit("entity:date-"), F.date_format("m", "yyyyMM")), F.lit("Date"), shown, ord_of(3, F.date_format("m", "yyyyMM").cast("long"))))
-    sources = t("orders").filter("o_orderkey % 10 = 0")
+    sources = t("orders")
     nodes = nodes.union(sources.select(F.concat(F.lit("source:o-"), "o_orderkey"), F.lit(SOURCE_TYPE), F.concat(F.lit("Order "), "o_orderkey"), ord_of(4, F.col("o_orderkey"))))
 
-    def edges(df: DataFrame, subject: Column, predicate: str, object_: Column, kind: int, key: Column) -> DataFrame:
-        return df.select(subject.alias("subject"), F.lit(predicate).alias("predicate"), object_.alias("object"), (F.lit(0.5) + key % 5 / 10).alias("confidence"), ord_of(kind, key))
+    def edges(df: DataFrame, subject: Column, predicate: str | Column, object_: Column, kind: int, key: Column) -> DataFrame:
+        return df.select(subject.alias("subject"), (F.lit(predicate) if isinstance(predicate, str) else predicate).alias("predicate"), object_.alias("object"), (F.lit(0.5) + key % 5 / 10).alias("confidence"), ord_of(kind, key))
 
     def node(kind: str, key: str) -> Column:
         return F.concat(F.lit(f"entity:{kind}-"), key)
 
     o = t("orders")
     date = F.concat(F.lit("entity:date-"), F.date_format("o_orderdate", "yyyyMM"))
-    out = edges(o.filter("o_custkey % 3 > 0"), node("person", "o_custkey"), "woo:occurredAt", date, 0, F.col("o_orderkey"))
+    out = edges(o, node("person", "o_custkey"), F.when(F.col("o_custkey") % 3 > 0, "woo:occurredAt").otherwise(MENTIONED_IN), date, 0, F.col("o_orderkey"))
     out = out.union(edges(t("supplier"), node("organization", "s_suppkey"), "woo:locatedIn", node("place", "s_nationkey"), 1, s))
     out = out.union(edges(t("supplier"), node("organization", "s_suppkey"), "woo:relatedTo", node("person", "s_suppkey"), 2, s))
-    out = out.union(edges(t("customer"), node("person", "c_custkey"), "woo:bornIn", node("place", "c_nationkey"), 3, k).filter(F.col("ord.key") % 7 == 0))
+    out = out.union(edges(t("customer"), node("person", "c_custkey"), F.when(k % 7 == 0, "woo:bornIn").otherwise(MENTIONED_IN), node("place", "c_nationkey"), 3, k))
     out = out.union(edges(sources, node("person", "o_custkey"), MENTIONED_IN, F.concat(F.lit("source:o-"), "o_orderkey"), 4, F.col("o_orderkey")))
     return nodes, out
 
@@ -184,14 +184,14 @@ DIRTY_SQL = """dn AS (
   UNION ALL SELECT 'entity:place-' || n_nationkey, 'Place', CASE WHEN n_nationkey % 4 = 0 THEN 'Customer ' || (n_nationkey * 5) ELSE 'Nation ' || n_name END, 2, n_nationkey FROM nation
   UNION ALL SELECT DISTINCT 'entity:date-' || strftime(o_orderdate, '%Y%m'), 'Date', CASE WHEN month(o_orderdate) = 1 THEN 'some January' ELSE strftime(o_orderdate, '%B %Y') END,
                    3, CAST(strftime(o_orderdate, '%Y%m') AS BIGINT) FROM orders
-  UNION ALL SELECT 'source:o-' || o_orderkey, 'woo:Source', 'Order ' || o_orderkey, 4, o_orderkey FROM orders WHERE o_orderkey % 10 = 0),
+  UNION ALL SELECT 'source:o-' || o_orderkey, 'woo:Source', 'Order ' || o_orderkey, 4, o_orderkey FROM orders),
 de AS (
-  SELECT 'entity:person-' || o_custkey AS subject, 'woo:occurredAt' AS predicate, 'entity:date-' || strftime(o_orderdate, '%Y%m') AS object,
-         0.5 + o_orderkey % 5 / 10 AS confidence, 0 AS kind, o_orderkey AS key FROM orders WHERE o_custkey % 3 > 0
+  SELECT 'entity:person-' || o_custkey AS subject, CASE WHEN o_custkey % 3 > 0 THEN 'woo:occurredAt' ELSE 'woo:mentionedIn' END AS predicate, 'entity:date-' || strftime(o_orderdate, '%Y%m') AS object,
+         0.5 + o_orderkey % 5 / 10 AS confidence, 0 AS kind, o_orderkey AS key FROM orders
   UNION ALL SELECT 'entity:organization-' || s_suppkey, 'woo:locatedIn', 'entity:place-' || s_nationkey, 0.5 + s_suppkey % 5 / 10, 1, s_suppkey FROM supplier
   UNION ALL SELECT 'entity:organization-' || s_suppkey, 'woo:relatedTo', 'entity:person-' || s_suppkey, 0.5 + s_suppkey % 5 / 10, 2, s_suppkey FROM supplier
-  UNION ALL SELECT 'entity:person-' || c_custkey, 'woo:bornIn', 'entity:place-' || c_nationkey, 0.5 + c_custkey % 5 / 10, 3, c_custkey FROM customer WHERE c_custkey % 7 = 0
-  UNION ALL SELECT 'entity:person-' || o_custkey, 'woo:mentionedIn', 'source:o-' || o_orderkey, 0.5 + o_orderkey % 5 / 10, 4, o_orderkey FROM orders WHERE o_orderkey % 10 = 0),
+  UNION ALL SELECT 'entity:person-' || c_custkey, CASE WHEN c_custkey % 7 = 0 THEN 'woo:bornIn' ELSE 'woo:mentionedIn' END, 'entity:place-' || c_nationkey, 0.5 + c_custkey % 5 / 10, 3, c_custkey FROM customer
+  UNION ALL SELECT 'entity:person-' || o_custkey, 'woo:mentionedIn', 'source:o-' || o_orderkey, 0.5 + o_orderkey % 5 / 10, 4, o_orderkey FROM orders),
 noisy AS (SELECT * FROM dn WHERE type <> 'woo:Source' AND (
   length(name) <= 3 OR name IN ('data') OR name LIKE '%,' OR regexp_matches(name, '\\|.*\\|') OR (type = 'Date' AND NOT regexp_matches(name, '\\b(1[5-9]\\d{2}|20[0-2]\\d)\\b'))
   OR length(regexp_replace(name, '[^\\p{L}\\s]', '', 'g')) / length(name) < 0.5)),
@@ -278,13 +278,14 @@ DETECTIONS_SQL = """det AS (
 
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every other customer, with a short form as alias."""
-    c = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0")
+    """Customers with a short form as alias, every other one under a name that nobody uses."""
+    c = table(spark, sf_dir, "customer")
+    listed = F.col("c_custkey") % 2 == 0
     return c.select(
-        F.concat(F.lit("entity:person-"), "c_custkey").alias("id"),
+        F.concat(F.when(listed, "entity:person-").otherwise("entity:unlisted-"), "c_custkey").alias("id"),
         F.lit("PERSON").alias("type"),
-        F.col("c_name").alias("name"),
-        F.array(F.concat(F.lit("C"), "c_custkey"), F.col("c_mktsegment")).alias("aliases"),
+        F.when(listed, F.col("c_name")).otherwise(F.concat(F.lit("Unlisted "), "c_custkey")).alias("name"),
+        F.array(F.concat(F.when(listed, "C").otherwise("U"), "c_custkey"), F.col("c_mktsegment")).alias("aliases"),
         F.col("c_custkey").cast("long").alias("ord"),
     )
 
@@ -298,7 +299,8 @@ def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(id_.alias("id"), F.lit("PERSON").alias("type"), name.alias("name"), F.col("o_orderkey").alias("ord"))
 
 
-REGISTRY_SQL = """reg AS (SELECT 'entity:person-' || c_custkey AS id, c_name AS name, ['C' || c_custkey, c_mktsegment] AS aliases, c_custkey AS ord FROM customer WHERE c_custkey % 2 = 0),
+REGISTRY_SQL = """reg AS (SELECT CASE WHEN c_custkey % 2 = 0 THEN 'entity:person-' ELSE 'entity:unlisted-' END || c_custkey AS id, CASE WHEN c_custkey % 2 = 0 THEN c_name ELSE 'Unlisted ' || c_custkey END AS name,
+               [CASE WHEN c_custkey % 2 = 0 THEN 'C' ELSE 'U' END || c_custkey, c_mktsegment] AS aliases, c_custkey AS ord FROM customer),
 arr AS (SELECT CASE WHEN o_orderkey % 8 = 3 THEN 'entity:person-' || c_custkey ELSE 'entity:new-' || o_orderkey END AS id,
                CASE o_orderkey % 4 WHEN 0 THEN c_name WHEN 1 THEN 'C' || c_custkey WHEN 2 THEN c_mktsegment ELSE 'Custmer#' || substr(c_name, 10, 9) END AS name, o_orderkey AS ord
         FROM orders JOIN customer ON o_custkey = c_custkey),

@@ -91,11 +91,11 @@ def ui_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 # A graph that falls into parts: customers of a nation and segment, suppliers of odd nations.
 def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     nodes, edges = p.dirty(spark, sf_dir)
-    return nodes, edges.filter("predicate = 'woo:bornIn' or (predicate = 'woo:locatedIn' and ord.key % 2 = 1)")
+    return nodes, edges.filter("predicate = 'woo:bornIn' or (predicate = 'woo:locatedIn' and confidence > 0.65)")
 
 
 _PARTS_SQL = f"""{p.DIRTY_SQL},
-pe AS (SELECT subject AS a, object AS b FROM de WHERE predicate = 'woo:bornIn' OR (predicate = 'woo:locatedIn' AND key % 2 = 1)),
+pe AS (SELECT subject AS a, object AS b FROM de WHERE predicate = 'woo:bornIn' OR (predicate = 'woo:locatedIn' AND confidence > 0.65)),
 pairs AS (SELECT a, b FROM pe UNION SELECT b, a FROM pe),
 reach(id, r) AS (SELECT a, a FROM pairs UNION SELECT id, b FROM reach JOIN pairs ON a = r),
 labels_ AS (SELECT id, min(r) AS label FROM reach GROUP BY id)"""
@@ -267,13 +267,13 @@ def _places(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Nations linked by orders: a customer's nation with a supplier's."""
     t = lambda n: p.table(spark, sf_dir, n)
     rows = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-    edges = rows.filter("l_quantity > 48").select(F.concat(F.lit("p-"), "c_nationkey").alias("subject"), F.lit("woo:relatedTo").alias("predicate"), F.concat(F.lit("p-"), "s_nationkey").alias("object"))
+    edges = rows.select(F.concat(F.lit("p-"), "c_nationkey").alias("subject"), F.lit("woo:relatedTo").alias("predicate"), F.concat(F.lit("p-"), "s_nationkey").alias("object"))
     nodes = t("nation").select(F.concat(F.lit("p-"), "n_nationkey").alias("id"), F.when(F.col("n_nationkey") % 5 > 0, "Place").otherwise("Event").alias("type"))
     return nodes, edges
 
 
 _PLACES_SQL = """pl AS (SELECT 'p-' || n_nationkey AS id FROM nation WHERE n_nationkey % 5 > 0),
-le AS (SELECT 'p-' || c_nationkey AS s, 'p-' || s_nationkey AS o FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity > 48),
+le AS (SELECT 'p-' || c_nationkey AS s, 'p-' || s_nationkey AS o FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey),
 pp AS (SELECT * FROM le WHERE s IN (SELECT id FROM pl) AND o IN (SELECT id FROM pl) AND s <> o)"""
 
 
