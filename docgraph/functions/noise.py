@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docgraph.functions.names import SOURCE_TYPE, strip
 
-# Word lists and patterns. A pattern's flag says whether case counts.
+# Word lists and patterns.
 ENTITY_LABELS = ["PERSON", "ORG", "GPE", "LOC", "DATE", "EVENT", "WORK_OF_ART", "FAC"]
 COMMON_WORDS = """
     east west north south new old general special local remote total standard statistical
@@ -30,18 +30,16 @@ REFERENCE_PATTERNS = [
     r"\|.*\|",
     r"^[\d\s.,;:()/\-–]+$",
     r"^(br|nbsp)>",
+    r"(?i)^(Fig|Std|Dev|Int|Sec|Ref|Eq)\.?$",
+    r"(?i)^(al|ed|eds|vol|nos?)\.?$",
+    r"(?i)^(Table|Figure|Fig)\s",
+    r"(?i)^(many|several|some|few|various)\s",
+    r"(?i)^(late|early|mid)\s+(19|20)\d\d",
+    r"(?i)century$",
+    r"(?i)^\d+(st|nd|rd|th)\s",
+    r"(?i)years?\s+ago",
     r",$",
 ]
-REFERENCE_PATTERNS_ANY_CASE = [
-    r"^(Fig|Std|Dev|Int|Sec|Ref|Eq)\.?$",
-    r"^(al|ed|eds|vol|nos?)\.?$",
-    r"^(Table|Figure|Fig)\s",
-    r"^(many|several|some|few|various)\s",
-    r"^(late|early|mid)\s+(19|20)\d\d",
-    r"century$",
-    r"^\d+(st|nd|rd|th)\s",
-    r"years?\s+ago",
-]
 GRAPH_NOISE_PATTERNS = [r"[\\${}]", r"\|.*\|", r"^[\d\s.,;:()/\-–]+$", r"^(br|nbsp)>"]
 NON_PLACES = """
     alternatively bayesian logistic baseline random normal primary secondary general standard
@@ -58,20 +56,18 @@ PLACE_NOISE_PATTERNS = [
     r"^\W+$",
     r"[,;]\s*$",
     r"^\(",
+    r"(?i)\b(Table|Figure|Fig)\s",
+    r"(?i)^\d+(st|nd|rd|th)\s",
     r"\[\[",
     r"\n",
     r"\(\d+",
     r"^\s*(the\s+)?[A-Z][a-z]+-[A-Z][a-z]+\b",
+    r"(?i)\b(www\.|http|\.edu|\.com)\b",
     r"[;:()/].*[;:()/]",
     r"\s{2,}",
     r"^[a-z](?!he\s)",
     r"\d.*[a-zA-Z].*\d",
 ]
-PLACE_NOISE_PATTERNS_ANY_CASE = [
-    r"\b(Table|Figure|Fig)\s",
-    r"^\d+(st|nd|rd|th)\s",
-    r"\b(www\.|http|\.edu|\.com)\b",
-]
 PLACE_TYPES = ["Place", "GPE", "LOC", "FAC"]
 YEAR_1500_2029 = r"\b(1[5-9]\d{2}|20[0-2]\d)\b"
 EXPLICIT_DATE = (
@@ -94,7 +90,7 @@ def alpha_ratio(text: Column) -> Column:
 
 
 def is_reference(name: Column) -> Column:
-    return matches(name, REFERENCE_PATTERNS) | matches(name, REFERENCE_PATTERNS_ANY_CASE, "diU")
+    return matches(name, REFERENCE_PATTERNS)
 
 
 def has_year(text: Column) -> Column:
@@ -159,5 +155,5 @@ def surname(name: Column) -> Column:
 
 def is_geocodable(name: Column) -> Column:
     name = F.coalesce(name, F.lit(""))
-    noisy = matches(name, PLACE_NOISE_PATTERNS, "d") | matches(name, PLACE_NOISE_PATTERNS_ANY_CASE, "di")
+    noisy = matches(name, PLACE_NOISE_PATTERNS, "d")
     return (F.length(name) >= 3) & ~F.lower(name).isin(NON_PLACES) & ~noisy & name.rlike(r"\p{L}")

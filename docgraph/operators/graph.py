@@ -61,13 +61,13 @@ def type_counts(nodes: DataFrame) -> DataFrame:
 
 def stats(nodes: DataFrame, edges: DataFrame, mentions: DataFrame) -> DataFrame:
     """One row: entities, relationships and sources of a merged graph."""
-    counts = [
-        nodes.agg(F.count("*").alias("total_entities")),
-        edges.agg(F.count("*").alias("total_relationships")),
-        mentions.select("source").distinct().agg(F.count("*").alias("total_sources")),
-    ]
-    # Three tables of one row each.
-    return counts[0].join(counts[1], F.lit(True)).join(counts[2], F.lit(True))
+    kinds = [nodes.select(F.lit("node").alias("kind")), edges.select(F.lit("edge")), mentions.select("source").distinct().select(F.lit("source"))]
+    every = kinds[0].union(kinds[1]).union(kinds[2])
+
+    def count(kind: str, name: str) -> Column:
+        return F.count_if(F.col("kind") == kind).alias(name)
+
+    return every.agg(count("node", "total_entities"), count("edge", "total_relationships"), count("source", "total_sources"))
 
 
 # --- fragments ---------------------------------------------------------------

@@ -101,7 +101,7 @@ def spans(items: DataFrame) -> DataFrame:
     """precision, n, and the overall min_year, max_year and total_items on each row."""
     by = items.groupBy(F.coalesce("precision", F.lit("unknown")).alias("precision")).agg(F.count("*").alias("n"), F.min("year").alias("low"), F.max("year").alias("high"))
     total = by.agg(F.coalesce(F.min("low"), F.lit(0)).alias("min_year"), F.coalesce(F.max("high"), F.lit(0)).alias("max_year"), F.sum("n").alias("total_items"))
-    return by.select("precision", "n").join(total, F.lit(True))
+    return by.select("precision", "n", F.lit(0).alias("all")).join(total.withColumn("all", F.lit(0)), "all").drop("all")
 
 
 def score() -> Column:

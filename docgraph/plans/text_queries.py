@@ -117,9 +117,7 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.table(spark, sf_dir, "part").select("p_partkey", name.alias("name"), _label("p_partkey").alias("label"))
 
 
-_REFERENCE_SQL = " OR ".join(
-    [f"regexp_matches(name, '{x}')" for x in noise.REFERENCE_PATTERNS] + [f"regexp_matches(name, '{x}', 'i')" for x in noise.REFERENCE_PATTERNS_ANY_CASE]
-)
+_REFERENCE_SQL = " OR ".join(f"regexp_matches(name, '{x}')" for x in noise.REFERENCE_PATTERNS)
 _WORDS_SQL = "(" + ", ".join(f"'{w}'" for w in noise.COMMON_WORDS) + ")"
 _RATIO_SQL = "length(regexp_replace({0}, '[^\\p{{L}}\\s]', '', 'g')) / greatest(length({0}), 1)"
 
@@ -152,7 +150,7 @@ def mention_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {_NAMES_SQL} SELECT p_partkey, name, length(name) >= 3 AND lower(name) NOT IN ({", ".join(f"'{w}'" for w in noise.NON_PLACES)})
-  AND NOT ({" OR ".join([f"regexp_matches(name, '{x}')" for x in noise.PLACE_NOISE_PATTERNS if "(?!" not in x] + [f"regexp_matches(name, '{x}', 'i')" for x in noise.PLACE_NOISE_PATTERNS_ANY_CASE])})
+  AND NOT ({" OR ".join(f"regexp_matches(name, '{x}')" for x in noise.PLACE_NOISE_PATTERNS if "(?!" not in x)})
   AND NOT (regexp_matches(name, '^[a-z]') AND NOT regexp_matches(name, '^[a-z]he\\s')) AND regexp_matches(name, '\\p{{L}}') AS geocodable FROM nm""")
 def geocodable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _names(spark, sf_dir).withColumn("geocodable", noise.is_geocodable(F.col("name"))).drop("label")
