@@ -36,7 +36,9 @@ from docgraph.sources import scratch
 from docgraph.llm.language_id import held_out
 
 ORDER = 4
+#: Rows of a chunk at most, and bytes of text that it is meant to have (by the mean length).
 CHUNK_ROWS = 8192
+CHUNK_BYTES = 32 << 20
 #: Symbols that a task turns into n-grams at a time.
 SLICE = 2_000_000
 QUANTILE = 0.99
@@ -155,8 +157,10 @@ def probabilities(grams: DataFrame, folder: str) -> DataFrame:
 
 def perplexities(docs: DataFrame, trusted: DataFrame, folder: str) -> DataFrame:
     """doc_id, lang, n_symbols, nll of each row of ``docs``; the model learns from ``trusted`` (doc_id)."""
+    mean = docs.agg(F.avg(F.octet_length("text"))).head()[0] or 1
+    rows = max(1, min(CHUNK_ROWS, int(CHUNK_BYTES // max(mean, 1))))
     row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    chunk = F.shiftleft(F.spark_partition_id().cast("long"), 30) + (row / CHUNK_ROWS).cast("long")
+    chunk = F.shiftleft(F.spark_partition_id().cast("long"), 33) + (row / rows).cast("long")
     columns = docs.select(chunk.alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     table = scratch.bucketed(columns, folder, "chunks", scratch.shuffle_partitions(docs.sparkSession), "chunk", codec="zstd")
     ids = table.select(F.col("chunk").alias("of"), F.col("doc_id").alias("id")).join(trusted.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")
