@@ -23,7 +23,6 @@ one doc_id are one node. Other columns are ignored.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +31,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docgraph.sources import scratch
 from docgraph.operators.components import components
+from docgraph.sources import scratch
 
 SHINGLE_WORDS = 5
 #: Similarity as a percentage.
@@ -236,7 +235,10 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, threshold: int
 
     stars = members.filter("id <> hub").select("id", "hub").distinct()
     inter = F.size(F.array_intersect("hashes", "hub_hashes"))
-    pairs = stars.join(sets, "id").join(sets.select(F.col("id").alias("hub"), F.col("hashes").alias("hub_hashes")), "hub")
+    # A table of its own without buckets, so that the join on hubs shuffles both sides and Spark can split a hub's many members.
+    wanted_hubs = stars.select(F.col("hub").alias("id")).distinct()
+    hub_sets = scratch.materialise(sets.join(wanted_hubs, "id", "left_semi").select(F.col("id").alias("hub"), F.col("hashes").alias("hub_hashes")), folder, "hub_sets")
+    pairs = stars.join(sets, "id").join(hub_sets, "hub")
     small, large = F.least(F.size("hashes"), F.size("hub_hashes")), F.greatest(F.size("hashes"), F.size("hub_hashes"))
     confirmed = pairs.filter(100 * small >= threshold * large).filter(similar(inter, F.size("hashes"), F.size("hub_hashes"), threshold))
     links = scratch.materialise(confirmed.select(F.col("hub").alias("a"), F.col("id").alias("b")), folder, "links")
