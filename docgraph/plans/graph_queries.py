@@ -235,9 +235,8 @@ def stream_incremental_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Edges merged by a stream over files of fragments, equal to the batch's."""
     folder = scratch.new_folder(spark, "stream")
     _, _, edges = p.graph(spark, sf_dir)
-    for part in range(2):
-        edges.filter(F.pmod("ord.ok", F.lit(2)) == part).write.mode("append").parquet(f"{folder}/arriving")
-    schema = spark.read.parquet(f"{folder}/arriving").schema
-    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 64).parquet(f"{folder}/arriving")
+    edges.write.parquet(f"{folder}/arriving")
+    # Few files a batch, so that several batches have to fold into one result.
+    arriving = spark.readStream.schema(edges.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/arriving")
     incremental.stream_edges(arriving, f"{folder}/state", f"{folder}/checkpoint").awaitTermination()
     return incremental.merged_so_far(spark, f"{folder}/state").drop("ord")

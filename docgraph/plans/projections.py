@@ -21,6 +21,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out evenly where it comes in fewer splits than there are cores, as a single small file does.
+
+    What follows is then done by all cores; tables of many splits stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def slug_sql(x: str) -> str:
     return f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', '-', 'g'), '-')"
 
@@ -32,7 +41,8 @@ def _id(kind: str, name: Column) -> Column:
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per line of an order with what it mentions; the keys together are unique."""
     t = lambda n: table(spark, sf_dir, n)
-    lines = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
+    own = spread(t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus"))
+    lines = own.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
     lines = lines.join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey")).join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     return lines.select(
         F.col("l_orderkey").alias("ok"),
@@ -236,7 +246,7 @@ def date_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Niagara Falls "), y),
         F.concat(F.lit("June 1-3, "), y),
     ]
-    return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.element_at(F.array(*styles), (F.col("o_orderkey") % 16 + 1).cast("int")).alias("text"))
+    return spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")).select(F.col("o_orderkey").alias("id"), F.element_at(F.array(*styles), (F.col("o_orderkey") % 16 + 1).cast("int")).alias("text"))
 
 
 DATE_TEXTS_SQL = """date_texts AS (SELECT o_orderkey AS id, CASE o_orderkey % 16
