@@ -141,7 +141,7 @@ def n_hop_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- timeline ----------------------------------------------------------------
 
 
-@query(rf"""WITH {p.DATE_TEXTS_SQL}, t AS (SELECT id, text, lower(trim(text)) AS t FROM date_texts),
+_PARSED_SQL = rf"""t AS (SELECT id, text, lower(trim(text)) AS t FROM date_texts),
 mo AS (SELECT unnest(['january','february','march','april','may','june','july','august','september','october','november','december']) AS m, unnest(range(1, 13)) AS n),
 x AS (SELECT id, text, t, regexp_extract(t, '^(\w+)\s+(\d{{1,2}}),?\s+(\d{{4}})', ['a', 'b', 'c']) AS f, regexp_extract(t, '^(\d{{1,2}})\s+(\w+),?\s+(\d{{4}})', ['a', 'b', 'c']) AS g,
         regexp_extract(t, '^(\w+),?\s+(\d{{4}})$', ['a', 'b']) AS h, regexp_extract(t, '^(\w+)\s+and\s+(\w+),?\s+(\d{{4}})', ['a', 'b', 'c']) AS i,
@@ -160,8 +160,10 @@ o AS (SELECT id, text, CASE
                        'p': 'decade', 'y': TRY_CAST(d.b AS INT) // 10 * 10 + CASE d.a WHEN 'late' THEN 7 WHEN 'mid' THEN 4 ELSE 0 END}}
   WHEN contains(t, 'spring') THEN {{'s': y || '-03', 'e': y || '-05', 'p': 'season', 'y': y}} WHEN contains(t, 'summer') THEN {{'s': y || '-06', 'e': y || '-08', 'p': 'season', 'y': y}}
   WHEN contains(t, 'fall') OR contains(t, 'autumn') THEN {{'s': y || '-09', 'e': y || '-11', 'p': 'season', 'y': y}} WHEN contains(t, 'winter') THEN {{'s': y || '-12', 'e': y || '-02', 'p': 'season', 'y': y}}
-  ELSE {{'s': y::TEXT, 'e': y::TEXT, 'p': 'year', 'y': y}} END AS k FROM j)
-SELECT date_texts.id, date_texts.text, k.s AS iso_start, k.e AS iso_end, k.p AS precision, k.y AS year FROM date_texts LEFT JOIN o USING (id)""")
+  ELSE {{'s': y::TEXT, 'e': y::TEXT, 'p': 'year', 'y': y}} END AS k FROM j)"""
+
+
+@query(f"WITH {p.DATE_TEXTS_SQL}, {_PARSED_SQL} SELECT date_texts.id, date_texts.text, k.s AS iso_start, k.e AS iso_end, k.p AS precision, k.y AS year FROM date_texts LEFT JOIN o USING (id)")
 def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.date_texts(spark, sf_dir).select("id", "text", dates.parse_date(F.col("text")).alias("d")).select("id", "text", "d.iso_start", "d.iso_end", "d.precision", "d.year")
 
@@ -218,12 +220,25 @@ def date_event_place(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.date_links(nodes, edges).select("date", "type", "id")
 
 
-@query()
+_TIMELINE_SQL = f"""{_DATED_SQL}, {_PARSED_SQL},
+src AS (SELECT c_custkey, 'source:c-' || c_custkey AS source, CASE WHEN c_custkey % 2 = 0 THEN 'pear-19' || lpad((c_custkey % 100)::TEXT, 2, '0') || '-x' ELSE 'c-' || c_custkey END AS slug,
+         CASE WHEN c_custkey % 3 > 0 THEN c_name END AS title, ['pdf', 'url', 'video'][c_custkey % 3 + 1] AS kind, CASE WHEN c_custkey % 3 = 2 THEN 'best_frame.png' END AS thumbnail,
+         CASE WHEN c_custkey % 2 = 0 THEN 1900 + c_custkey % 100 WHEN c_custkey % 5 > 0 THEN 2024 END AS year FROM customer),
+per AS (SELECT date, count(*) FILTER (WHERE type = 'Event') AS n_events, count(*) FILTER (WHERE type = 'Place') AS n_places,
+         arg_min(substr(id, 3) || ' fair', (ord, id)) FILTER (WHERE type = 'Event') AS event_name FROM dl GROUP BY date),
+seen AS (SELECT o_custkey, count(DISTINCT place) AS n_places FROM dr WHERE o_orderkey % 7 = 0 GROUP BY o_custkey),
+items AS (SELECT dr.date AS id, 'date' AS type, dr.text AS label, coalesce(event_name, CASE WHEN coalesce(n_events, 0) = 0 THEN title END, dr.text) AS display_label, k.s AS iso_start, k.e AS iso_end, k.p AS precision, k.y AS year,
+            kind AS source_type, thumbnail, 1::BIGINT AS n_sources, coalesce(n_events, 0) AS n_events, coalesce(n_places, 0) AS n_places
+          FROM dr JOIN o ON o.id = dr.o_orderkey AND k IS NOT NULL JOIN src ON src.c_custkey = dr.o_custkey LEFT JOIN per ON per.date = dr.date
+          UNION ALL SELECT source, 'source', coalesce(title, slug), coalesce(title, slug), year::TEXT, year::TEXT, 'year', year, kind, thumbnail, 1, 0, coalesce(n_places, 0) FROM src LEFT JOIN seen ON o_custkey = c_custkey WHERE year IS NOT NULL)"""
+
+
+@query(f"WITH {_TIMELINE_SQL} SELECT id, type, label, display_label, iso_start, iso_end, precision, year::INT AS year, source_type, thumbnail, n_sources, n_events, n_places FROM items")
 def timeline_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.timeline(*_dated(spark, sf_dir))
 
 
-@query()
+@query(f"WITH {_TIMELINE_SQL} SELECT precision, count(*) AS n, (SELECT min(year)::INT FROM items) AS min_year, (SELECT max(year)::INT FROM items) AS max_year, (SELECT count(*) FROM items) AS total_items FROM items GROUP BY precision")
 def timeline_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.spans(timeline.timeline(*_dated(spark, sf_dir)))
 
