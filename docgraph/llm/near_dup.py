@@ -39,6 +39,8 @@ SHINGLE_WORDS = 5
 THRESHOLD = 80
 BANDS, ROWS = 32, 4
 BINS = BANDS * ROWS
+#: Words whose hashes a task remembers.
+MEMO = 150_000
 #: Members of a bucket that one task of the exact search holds, a side.
 BLOCK = 2048
 ATTEMPTS = 64
@@ -70,14 +72,16 @@ class Shingler:
         """Sorted distinct shingle hashes of UTF-8 text."""
         words = text.lower().split()
         memo = self.memo
-        if len(memo) > 1_000_000:
+        if len(memo) > MEMO:
             memo.clear()
         out = []
         for word in words:
-            h = memo.get(word)
-            if h is None:
-                h = memo[word] = xxhash.xxh3_64_intdigest(word)
-            out.append(h)
+            own = memo.get(word)
+            if own is None:
+                own = xxhash.xxh3_64_intdigest(word)
+                if len(memo) <= MEMO:
+                    memo[word] = own
+            out.append(own)
         h = np.array(out, _U)
         if not len(h):
             return h
