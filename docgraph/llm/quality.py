@@ -12,11 +12,11 @@ joins of asked n-grams with counts, with context totals and with the next lower
 order give probabilities, and these go back to their chunks, where each document's
 perplexity is summed. Texts are never shuffled.
 
-Thresholds: a fifth of the trusted documents is kept out of training; the quantile
-of their log perplexity in each language, plus a margin, is that language's
-threshold. Languages with few of them use the quantile over all. A document is
+Thresholds: a fifth of the trusted documents is kept out of training. A document is
 judged by its log perplexity drawn towards its language's median as if by ``PRIOR``
-more characters, so that short texts aren't rejected by chance.
+more characters, so that short texts aren't rejected by chance. The quantile of the
+held-out documents' scores, drawn likewise, is their language's threshold. Languages
+with few of them use the median and the quantile over all.
 
 Defined results: a null text counts as empty; an empty text is judged by its end
 alone. Without trusted text every document is accepted. A null doc_id is never
@@ -42,10 +42,10 @@ CHUNK_BYTES = 32 << 20
 #: Symbols that a task turns into n-grams at a time.
 SLICE = 2_000_000
 QUANTILE = 0.99
-#: Added to a language's quantile, in nats a character.
-MARGIN = 0.25
 PRIOR = 60
 MIN_CALIBRATION = 30
+#: Parts of a language's held-out documents, so that a common language isn't one task's.
+SALTS = 32
 ALPHABET = 1 << 16
 _BEGIN, _END = 2, 3
 
@@ -171,21 +171,30 @@ def perplexities(docs: DataFrame, trusted: DataFrame, folder: str) -> DataFrame:
     return scratch.materialise(scored, folder, "scores")
 
 
-def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, margin: float = MARGIN) -> DataFrame:
+def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> DataFrame:
     """doc_id, lang, n_symbols, perplexity, threshold, accepted for each row of ``docs``.
 
     ``labels`` (doc_id, quality, toxic) says what is trusted: quality 1 and not toxic.
+    ``threshold`` bounds the drawn score, not the perplexity itself.
     """
     folder = scratch.new_folder(docs.sparkSession, "quality")
     trusted = labels.filter("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     scores = perplexities(docs, trusted.filter(~held_out(F.col("doc_id"))), folder).withColumn("mean", F.col("nll") / F.col("n_symbols"))
 
+    def drawn(median: Column) -> Column:
+        return (F.col("nll") + PRIOR * median) / (F.col("n_symbols") + PRIOR)
+
+    def at(share: float, score: str | Column) -> Column:
+        return F.percentile_approx(score, share, 10_000)
+
     apart = scores.join(trusted.filter(held_out(F.col("doc_id"))), "doc_id", "left_semi").withColumn("lang", F.coalesce("lang", F.lit("und")))
-    figures = [F.count("*").alias("n"), F.percentile_approx("mean", 0.5, 10_000).alias("median"), F.percentile_approx("mean", quantile, 10_000).alias("high")]
-    overall = apart.agg(*figures).head()
-    by_lang = apart.groupBy("lang").agg(*figures).filter(F.col("n") >= MIN_CALIBRATION).select(F.col("lang").alias("of"), "median", "high")
+    middle = F.lit(apart.agg(at(0.5, "mean")).head()[0]).cast("double")
+    high = F.lit(apart.agg(at(quantile, drawn(middle))).head()[0]).cast("double")
+    medians = apart.groupBy("lang").agg(F.count("*").alias("n"), at(0.5, "mean").alias("median")).filter(F.col("n") >= MIN_CALIBRATION).select("lang", "median")
+    salted = apart.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    spread = medians.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    by_lang = salted.join(spread, ["lang", "salt"]).groupBy(F.col("lang").alias("of")).agg(F.first("median").alias("median"), at(quantile, drawn(F.col("median"))).alias("high"))
     joined = scores.join(by_lang, F.coalesce("lang", F.lit("und")) == F.col("of"), "left")
-    median = F.coalesce("median", F.lit(overall["median"]))
-    threshold = F.coalesce("high", F.lit(overall["high"])) + margin
-    judged = (F.col("nll") + PRIOR * median) / (F.col("n_symbols") + PRIOR)
-    return joined.select("doc_id", "lang", "n_symbols", F.exp("mean").alias("perplexity"), F.exp(threshold).alias("threshold"), F.coalesce(judged <= threshold, F.lit(True)).alias("accepted"))
+    threshold = F.coalesce("high", high)
+    accepted = drawn(F.coalesce("median", middle)) <= threshold
+    return joined.select("doc_id", "lang", "n_symbols", F.exp("mean").alias("perplexity"), F.exp(threshold).alias("threshold"), F.coalesce(accepted, F.lit(True)).alias("accepted"))

@@ -7,6 +7,7 @@ import math
 import random
 import re
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -160,6 +161,26 @@ def test_quality_separates_labels(spark, sf_dir):
     assert share[1] >= 0.97 and share[0] <= 0.5
 
 
+def test_a_tiny_trusted_text_does_not_loosen_the_threshold(spark, monkeypatch):
+    held = [r[0] for r in spark.range(2000).filter(language_id.held_out(F.col("id"))).limit(60).collect()]
+    rows = [(i, "en", 1000, 1000 * (1.6 + k / 1000)) for k, i in enumerate(held[:-1])] + [(held[-1], "en", 8, 8 * 2.8), (9000, "en", 1000, 1000 * 2.2), (9001, "en", 1000, 1000 * 1.65), (9002, "xx", 1000, 1000 * 2.2)]
+    scores = spark.createDataFrame(rows, "doc_id long, lang string, n_symbols long, nll double")
+    monkeypatch.setattr(quality, "perplexities", lambda *_: scores)
+    found = by_id(quality.quality(docs(spark, []), spark.createDataFrame([(i, 1, 0) for i in held], "doc_id long, quality int, toxic int")))
+    assert [found[i]["accepted"] for i in (9000, 9001, 9002)] == [False, True, False]
+    assert sum(not found[i]["accepted"] for i in held) <= 1
+
+
+def test_quality_rejects_nearly_all_labelled_junk(spark):
+    large = Path("/root/testdata/sf0.1")
+    if not large.exists():
+        pytest.skip("no large test tables")
+    labels = spark.read.parquet(f"{large}/labels.parquet")
+    rows = quality.quality(spark.read.parquet(f"{large}/documents.parquet"), labels).join(labels, "doc_id").filter("quality = 0 or toxic = 0")
+    share = {r["quality"]: r["a"] for r in rows.groupBy("quality").agg(F.avg(F.col("accepted").cast("int")).alias("a")).collect()}
+    assert share[0] <= 0.1 and share[1] >= 0.99
+
+
 def test_quality_odd_rows(spark):
     labels = spark.createDataFrame([(4, 1, 0), (5, 1, None), (5, 1, 0), (None, 1, 0), (7, None, None)], "doc_id long, quality int, toxic int")
     rows = quality.quality(table(spark, ODD_ROWS), labels).collect()
