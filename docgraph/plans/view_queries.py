@@ -113,6 +113,26 @@ def largest_component(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.largest_component(*_parts(spark, sf_dir)).select("id", "type", "name")
 
 
+# The whole graph, hot places and months too, which takes recursive SQL too long.
+@query()
+def whole_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.node_components(p.dirty(spark, sf_dir)[1])
+
+
+@query()
+def whole_largest_component(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.largest_component(*p.dirty(spark, sf_dir)).select("id", "type", "name")
+
+
+# All orders with their customers, and all suppliers with their people: a component for each customer by its nature.
+@query("""SELECT 'source:o-' || o_orderkey AS id, CASE WHEN s_suppkey IS NULL THEN 'entity:person-' ELSE 'entity:organization-' END || o_custkey AS label FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey
+UNION SELECT 'entity:person-' || o_custkey, CASE WHEN s_suppkey IS NULL THEN 'entity:person-' ELSE 'entity:organization-' END || o_custkey FROM orders LEFT JOIN supplier ON s_suppkey = o_custkey
+UNION SELECT unnest(['entity:person-' || s_suppkey, 'entity:organization-' || s_suppkey]), 'entity:organization-' || s_suppkey FROM supplier""")
+def customer_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = p.dirty(spark, sf_dir)[1]
+    return views.node_components(edges.filter((F.col("predicate") == "woo:relatedTo") | F.startswith("object", F.lit("source:"))))
+
+
 @query(f"""WITH RECURSIVE {p.DIRTY_SQL},
 sh AS (SELECT * FROM dn WHERE type <> 'woo:Source'),
 vis AS (SELECT * FROM de WHERE predicate <> 'woo:mentionedIn' AND subject IN (SELECT id FROM sh) AND object IN (SELECT id FROM sh)),

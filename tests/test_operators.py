@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docgraph import __main__ as cli
 from docgraph.operators import crawl, detections, graph, process, ranking, resolve, timeline, views
+from docgraph.plans import projections, view_queries
 from docgraph.sources import convert, fragments, manifests
 from docgraph.streaming import incremental
 
@@ -142,6 +144,34 @@ def test_components_and_views(spark):
     assert {r["id"]: r["degree"] for r in loops} == {"a": 3, "b": 1}
 
 
+def union_find(pairs):
+    """Each node's smallest companion."""
+    parent: dict[str, str] = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            parent[x] = parent.setdefault(parent[x], parent[x])
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    return {x: root(x) for x in parent}
+
+
+def test_component_queries_cover_all_edges(spark, sf_dir):
+    nodes, edges = projections.dirty(spark, sf_dir)
+    pairs = [(r["subject"], r["object"]) for r in edges.collect()]
+    want = union_find(pairs)
+    assert {r["id"]: r["label"] for r in view_queries.QUERIES["whole_components"](spark, sf_dir).collect()} == want
+    sizes = Counter(want.get(r["id"], r["id"]) for r in nodes.collect())
+    assert view_queries.QUERIES["whole_largest_component"](spark, sf_dir).count() == max(sizes.values())
+    several = union_find((a, b) for a, b in pairs if b.startswith("source:") or a.startswith("entity:organization-") and b.startswith("entity:person-"))
+    assert len(set(several.values())) > 50
+    assert {r["id"]: r["label"] for r in view_queries.QUERIES["customer_components"](spark, sf_dir).collect()} == several
+
+
 def test_long_chain_is_one_component(spark):
     chain = [(f"c{i:03}", "p", f"c{i + 1:03}") for i in range(200)]
     random.Random(1).shuffle(chain)
