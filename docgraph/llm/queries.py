@@ -45,7 +45,8 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = F.col("capture.metadata.fields")
     return captures.select(
         fields["page-id"].try_cast("long").alias("page_id"),
-        fields["payload-length"].cast("long").alias("payload_bytes"),
+        # A revisit has no payload to measure, only its declared length.
+        F.coalesce("capture.response.payload_bytes", fields["payload-length"].cast("long")).alias("payload_bytes"),
         F.col("capture.response.digest").alias("payload_digest"),
         F.col("capture.response.type").alias("record_type"),
         F.try_element_at(fields, F.lit("refers-to-page")).try_cast("long").alias("refers_to"),

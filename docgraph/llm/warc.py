@@ -105,9 +105,9 @@ def records(archive: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = begin + size + 4
 
 
-_RECORD_DDL = "record_id string, type string, concurrent_to string, url string, digest string, fields map<string,string>, payload binary"
+_RECORD_DDL = "record_id string, type string, concurrent_to string, url string, digest string, fields map<string,string>, payload binary, payload_bytes long, payload_sha256 string"
 _RECORD = pa.schema(
-    [(n, pa.string()) for n in ("record_id", "type", "concurrent_to", "url", "digest")] + [("fields", pa.map_(pa.string(), pa.string())), ("payload", pa.binary())]
+    [(n, pa.string()) for n in ("record_id", "type", "concurrent_to", "url", "digest")] + [("fields", pa.map_(pa.string(), pa.string())), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string())]
 )
 
 
@@ -120,17 +120,18 @@ def _parse(with_payload: bool):
                     kind = headers["warc-type"]
                     payload = block.partition(b"\r\n\r\n")[2] if kind == "response" else None
                     digest = headers.get("warc-payload-digest", "").removeprefix("sha256:") or None
-                    if payload is not None and hashlib.sha256(payload).hexdigest() != digest:
+                    measured = None if payload is None else hashlib.sha256(payload).hexdigest()
+                    if measured is not None and measured != digest:
                         raise ValueError(f"payload of {headers['warc-record-id']} differs from its digest")
                     fields = [tuple(line.split(": ", 1)) for line in block.decode().split("\r\n") if line] if kind == "metadata" else None
-                    rows.append((headers["warc-record-id"], kind, headers.get("warc-concurrent-to"), headers.get("warc-target-uri"), digest, fields, payload if with_payload else None))
+                    rows.append((headers["warc-record-id"], kind, headers.get("warc-concurrent-to"), headers.get("warc-target-uri"), digest, fields, payload if with_payload else None, None if payload is None else len(payload), measured))
                 yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _RECORD.types, strict=True)], schema=_RECORD)
 
     return run
 
 
 def read_records(archives: DataFrame, with_payload: bool = True) -> DataFrame:
-    """One row per record; without payloads they are still checked against their digests."""
+    """One row per record, with its payload's measured length and hash; without payloads they are still checked against their digests."""
     return archives.select("warc").mapInArrow(_parse(with_payload), _RECORD_DDL)
 
 
@@ -139,7 +140,7 @@ def assemble(recs: DataFrame) -> DataFrame:
     keyed = recs.withColumn("key", F.coalesce("concurrent_to", "record_id"))
 
     def one(role: str, *kinds: str):
-        parts = F.struct("record_id", "type", "url", "digest", "fields", "payload")
+        parts = F.struct("record_id", "type", "url", "digest", "fields", "payload", "payload_bytes", "payload_sha256")
         return F.first(F.when(F.col("type").isin(*kinds), parts), ignorenulls=True).alias(role)
 
     main = F.count_if(F.col("type").isin("response", "revisit"))

@@ -165,6 +165,14 @@ def test_warc_keeps_odd_bytes_and_long_pages(spark):
     assert {c["capture"]["metadata"]["fields"]["page-id"]: bytes(c["capture"]["response"]["payload"]).decode() for c in captures} == {str(i): h for i, _, h in rows}
 
 
+def test_warc_query_measures_payloads(spark, sf_dir, monkeypatch):
+    payload = b"x" * 50
+    archive = warc.capture(1, "u", payload, hashlib.sha256(payload).hexdigest(), None, False).replace(b"payload-length: 50", b"payload-length: 99")
+    captures = warc.assemble(warc.read_records(spark.createDataFrame([(bytearray(archive),)], "warc binary"), with_payload=False))
+    monkeypatch.setattr(warc, "warc_captures", lambda _: captures)
+    assert queries.op7_warc(spark, sf_dir).head()["payload_bytes"] == 50
+
+
 def test_warc_damage_is_found():
     archive = warc.capture(1, "u", b"x" * 50, "d", None, False)
     with pytest.raises(ValueError):
