@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -284,14 +285,46 @@ def family(rng, size, edits):
     return out
 
 
-@pytest.mark.parametrize(("words", "block"), [(4, 2048), (5, 3)])
-def test_near_duplicates_equal_brute_force(spark, words, block):
+@pytest.mark.parametrize(("words", "block", "most_blocks"), [(4, 512, 64), (5, 3, 64), (4, 3, 1), (4, 1, 0)])
+def test_near_duplicates_equal_brute_force(spark, words, block, most_blocks):
     rng = random.Random(words)
     texts = [t for _ in range(4) for t in family(rng, 40, 10)] + ["a b", "A b", "a b c", "", None, "one", "x " * 50]
     rng.shuffle(texts)
     rows = list(enumerate(texts, 10))
-    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(docs(spark, rows), words, block=block).collect()}
-    assert found == brute_near(rows, words)
+    found = near_dup.near_duplicates(docs(spark, rows), words, block=block, most_blocks=most_blocks).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found} == brute_near(rows, words)
+
+
+def test_one_id_with_several_texts_is_one_node(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    found = near_dup.near_duplicates(docs(spark, [(2, a), (3, b), (5, a), (5, b), (7, a), (8, c), (8, "short"), (9, c)]), 4).collect()
+    assert {(r["doc_id"], r["component_id"]) for r in found} == {(2, 2), (3, 2), (5, 2), (7, 2), (8, 8), (9, 8)}
+    assert sorted(r["n_shingles"] for r in found if r["doc_id"] == 8) == [1, 27]
+
+
+def test_blocks_of_the_exact_search_are_bounded(spark, monkeypatch):
+    """Twenty thousand shingles a member: blocks go by shingles, not by members alone."""
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 200_000)
+    members = spark.range(300).select(F.lit(1).cast("long").alias("key"), "id", F.lit(20_000).cast("long").alias("size"), F.lit(0).cast("long").alias("hub"), F.lit(300).cast("long").alias("n"))
+    labels = spark.createDataFrame([(0, 0), (1, 0)], "node long, label long")
+    todo = near_dup._unresolved(members, labels, 512)
+    assert {(r["blocks"], r["turns"]) for r in todo.collect()} == {(30, 30)} and todo.count() == 300
+    assert todo.filter("asks").count() == 298
+    block = todo.groupBy(F.pmod(F.xxhash64("id"), F.col("blocks"))).count()
+    assert block.agg(F.max("count")).head()[0] <= 30
+
+
+def test_search_finds_what_joins_components():
+    rng = np.random.default_rng(4)
+    base = np.unique(rng.integers(0, 1 << 62, 20_000))
+    sets = [np.sort(np.concatenate([base[k * 200 :], rng.integers(0, 1 << 62, k * 200)])) for k in range(40)]
+    rows = [(i, i, asks, s) for i, s in enumerate(sets) for asks in (False, True)]
+    table = pa.table({"id": [r[0] for r in rows], "comp": [r[1] for r in rows], "asks": [r[2] for r in rows], "hashes": pa.array([r[3] for r in rows], pa.list_(pa.int64()))})
+    found = near_dup._search(80)(table).to_pydict()
+    assert len(found["a"]) == 11  # the first twelve are within reach of each other
+    for a, b in zip(found["a"], found["b"], strict=True):
+        inter = len(np.intersect1d(sets[a], sets[b]))
+        assert 100 * inter >= 80 * (len(sets[a]) + len(sets[b]) - inter)
 
 
 def test_star_misses_are_searched(spark):
@@ -317,9 +350,9 @@ def test_near_duplicates_odd_rows(spark):
 def test_signature_estimates_similarity():
     rng = np.random.default_rng(1)
     common, a, b = (rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (60, 20, 20))
-    x, y = (near_dup.signature(np.unique(np.concatenate([common, z]))) for z in (a, b))
+    x, y = (near_dup.COARSE.signature(np.unique(np.concatenate([common, z]))) for z in (a, b))
     assert abs((x == y).mean() - 0.6) < 0.15
-    assert (near_dup.signature(common[:1]) == common[0]).all()
+    assert (near_dup.COARSE.signature(common[:1]) == common[0]).all()
 
 
 # --- packing -------------------------------------------------------------------------------
