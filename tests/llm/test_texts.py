@@ -225,30 +225,120 @@ def test_license_base_equals_brute_force(spark):
 
 
 @pytest.mark.parametrize(
-    ("text", "labels"),
+    ("text", "labels", "embedded"),
     [
-        ("Licensed under the Apache License, Version 2.0.", "apache,apache-2.0,apache-notice"),
-        ("under the terms of the Apache License", "apache,apache-notice"),
-        ("Licensed under the Apache Licence, Version 2.0.", ""),
-        ("This work is licensed under the GNU General Public License, version 3.", "gpl,gpl-notice"),
-        ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-4.0"),
-        ("Licensed under CC BY-XX 4.0.", "cc-by"),
-        ("This software thing is released under the MIT License", "mit,mit-notice"),
-        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software, to deal in the Software without restriction", "mit-grant"),
-        ("Permission is hereby granted, free of charge, to any person keeping a copy of this software, to deal in the Software without restriction", ""),
+        ("Licensed under the Apache License, Version 2.0.", "apache,apache-2.0", ""),
+        ("Some text. Licensed under the terms of the Apache License, Version 2.0\nmore", "apache,apache-2.0", ""),
+        ("This file is not licensed under the Apache License, Version 2.0.", "apache", "apache-2.0"),
+        ("Licensed under the Apache License, Version 2.0, except for sale.", "apache", "apache-2.0"),
+        ("under the terms of the Apache License", "apache", ""),
+        ("Licensed under the Apache Licence, Version 2.0.", "", ""),
+        ("This work is licensed under the GNU General Public License, version 3.", "gpl,gpl-3", ""),
+        ("This work is licensed under the GNU General Public License, version 4.", "gpl", ""),
+        ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc-4.0", ""),
+        ("Licensed under CC BY-NC-ND 4.0", "cc-by,cc-by-nc-nd-4.0", ""),
+        ("Licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "cc-by-sa-4.0", ""),
+        ("Licensed under CC BY 4.0.", "cc-by,cc-by-4.0", ""),
+        ("Licensed under CC BY-XX 4.0.", "cc-by", ""),
+        ("This software thing is released under the MIT License", "mit,mit-notice", ""),
+        ("This software is released under the MIT License and a fee", "mit", "mit-notice"),
+        ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software, to deal in the Software without restriction except never sell it", "", ""),
     ],
 )
-def test_license_templates(text, labels):
-    assert license_scan.Scanner().scan(text.encode())[5] == labels
+def test_license_templates(text, labels, embedded):
+    found = license_scan.Scanner().scan(text.encode())
+    assert (found[5], found[7]) == (labels, embedded)
+
+
+def test_full_license_texts():
+    scanner = license_scan.Scanner()
+    mit = """Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+    found = scanner.scan(mit.encode())
+    assert found[5] == "mit-text" and found[0] - found[8] == 4  # but for the line of copyright
+    assert scanner.scan(mit.replace("sublicense", "lend").encode())[5] == ""
+    assert scanner.scan(mit.replace("SOFTWARE.\n", "SOFTWARE unless sold.\n").encode())[5:8] == ("", 0.5, "mit-text")
+
+
+def instances(rng, template):
+    """A random text of a template, by reading its markup from left to right."""
+    out, skipping = [], []
+    for mark, n, choice, word in re.findall(r"<<(optional|/optional|replace (\d+)|any ([^>]+))>>|(\S+)", template):
+        if mark == "optional":
+            skipping.append(rng.random() < 0.5)
+        elif mark == "/optional":
+            skipping.pop()
+        elif not any(skipping):
+            out += [word] if word else [rng.choice(choice.split())] if choice else rng.choices(["foo", "this", "the"], k=rng.randint(0, int(n)))
+    return out
+
+
+def as_pattern(template):
+    pieces = []
+    for mark, n, choice, word in re.findall(r"<<(optional|/optional|replace (\d+)|any ([^>]+))>>|(\S+)", template):
+        pieces.append("(?:" if mark == "optional" else ")?" if mark == "/optional" else f"{re.escape(word)} " if word else f"(?:{'|'.join(choice.split())}) " if choice else rf"(?:\S+ ){{0,{n}}}")
+    return re.compile("".join(pieces))
+
+
+def test_shipped_templates_equal_regular_expressions():
+    rng = random.Random(11)
+    scanner = license_scan.Scanner()
+    patterns = [(label, as_pattern(t)) for label, own in license_scan.TEMPLATES.items() for t in own]
+    every = [t for own in license_scan.TEMPLATES.values() for t in own]
+    seen = Counter()
+    for k in range(400):
+        sentences = []
+        for _ in range(rng.randint(1, 3)):
+            words = instances(rng, rng.choice(every))
+            if rng.random() < 0.4:
+                words.insert(rng.randrange(len(words) + 1), rng.choice(["not", "this", "license"]))
+            if rng.random() < 0.2:
+                del words[rng.randrange(len(words))]
+            sentences.append(words)
+        breaks, at = {0}, 0
+        for words in sentences:
+            breaks.add(at := at + len(words))
+        flat = [w for words in sentences for w in words]
+        starts = list(itertools.accumulate((len(w) + 1 for w in flat), initial=0))
+        joined = "".join(w + " " for w in flat)
+        want = set()
+        for label, pattern in patterns:
+            for i in breaks:
+                for j in breaks:
+                    if i < j and pattern.fullmatch(joined[starts[i] : starts[j]]):
+                        want.add(label)
+        found = scanner.scan(". ".join(" ".join(w) for w in sentences).encode())
+        assert set(found[5].split(",")) - set(found[4].split(",")) - {""} == want, k
+        seen.update(want)
+    assert set(seen) == set(license_scan.TEMPLATES)
 
 
 def test_automaton_equals_regular_expression():
-    template = "a <<optional>> b <<replace 2>> c <</optional>> d <<replace 1>> e"
+    template = "a <<optional>> b <<replace 2>> c <</optional>> <<any d b>> <<replace 1>> e"
     automaton = license_scan.Automaton(template)
-    pattern = re.compile(r"a (b (\w ){0,2}c )?d (\w )?e ")
+    pattern = re.compile(r"a (b (\w ){0,2}c )?[db] (\w )?e ")
     for words in itertools.product("abcde", repeat=6):
         text = "".join(w + " " for w in words)
-        assert automaton.accepts([w.encode() for w in words], 0) == bool(pattern.match(text))
+        want = {n for n in range(7) if pattern.fullmatch(text[: 2 * n])}
+        assert set(automaton.ends([w.encode() for w in words], 0)) == want
 
 
 # --- near-duplicates ----------------------------------------------------------------------
