@@ -1,7 +1,7 @@
 """Line de-duplication over levelled sorted runs of line hashes. DataFrame functions only.
 
-Documents come in batches of descending doc_id. The state is a set of runs, each
-a table of (line hash, documents so far, largest doc_id) bucketed and sorted by
+Texts are hashed once into a narrow table of (doc_id, line hash) rows by batch;
+batches come in descending doc_id. The state is a set of runs, each a table of (line hash, documents so far, largest doc_id) bucketed and sorted by
 hash, in levels: when a level has ``fanout`` runs, they are compacted into one run
 of the next. A new batch is merge-anti-joined with the settled entries of the runs,
 those whose line already occurs in enough documents (their owner, met first, has
@@ -15,9 +15,10 @@ A line's key is the line without ``[\\x20\\x09-\\x0D]`` at its ends and A-Z lowe
 only keys of ``min_length`` code points or more count. Keys are told apart by two
 chained 64-bit hashes.
 
-Defined results: a null or empty text is one empty line. Each row counts as a
-document of its own; a row with a null doc_id is never counted nor changed. Rows
-that repeat the owner's doc_id all keep the line. Other columns are ignored.
+Defined results: a null or empty text is one empty line. A document is a doc_id:
+rows that repeat one count once for each of their lines, all lose what others own,
+and all keep what their doc_id owns. A row with a null doc_id is never counted nor
+changed. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -99,30 +100,36 @@ class Runs:
                 self.levels[level + 1].append(self._write(out))
 
 
-def repeated_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS, batches: int = BATCHES) -> DataFrame:
-    """h1, h2, max_id of each line key that occurs in ``min_documents`` documents or more."""
-    spark = docs.sparkSession
-    folder = scratch.new_folder(spark, "line_dedup")
-    runs = Runs(folder, scratch.shuffle_partitions(spark))
+def line_hashes(docs: DataFrame, folder: str, min_length: int, batches: int) -> DataFrame:
+    """doc_id, h1, h2, batch of each long line, once a document; batch 0 has the largest doc_ids."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(F.col("doc_id").isNotNull())
     cuts = docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
-    bounds = [None, *sorted({int(c) for c in cuts}), None]
-    for low, high in reversed(list(zip(bounds, bounds[1:], strict=False))):
-        part = docs
-        if low is not None:
-            part = part.filter(F.col("doc_id") > low)
-        if high is not None:
-            part = part.filter(F.col("doc_id") <= high)
-        keys = part.select("doc_id", F.explode(hashes_of(F.col("text"), min_length)).alias("key")).groupBy("key.h1", "key.h2")
-        runs.add(keys.agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_id")), min_documents)
+    batch = sum((F.when(F.col("doc_id") <= int(c), 1).otherwise(0) for c in sorted(set(cuts))), F.lit(0))
+    exploded = docs.select("doc_id", batch.alias("batch"), F.explode(hashes_of(F.col("text"), min_length)).alias("key"))
+    rows = exploded.select("doc_id", "key.h1", "key.h2", "batch")
+    rows.write.partitionBy("batch").parquet(f"{folder}/lines")
+    lines = docs.sparkSession.read.schema(rows.schema).parquet(f"{folder}/lines")
+    # Only rows that share their doc_id with others can repeat a line of it; as a rule there are none.
+    several = scratch.materialise(docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), folder, "several")
+    return lines.join(several, "doc_id", "left_anti").unionByName(lines.join(several, "doc_id", "left_semi").distinct())
+
+
+def repeated_lines(lines: DataFrame, folder: str, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """h1, h2, max_id of each line of ``lines`` that occurs in ``min_documents`` documents or more."""
+    runs = Runs(folder, scratch.shuffle_partitions(lines.sparkSession))
+    last = lines.agg(F.max("batch")).head()[0] or 0
+    for batch in range(last + 1):
+        own = lines.filter(F.col("batch") == batch).groupBy(*_KEY)
+        runs.add(own.agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("max_id")), min_documents)
     return scratch.materialise(runs.merged().filter(F.col("n_docs") >= min_documents).select(*_KEY, "max_id"), folder, "repeated")
 
 
-def dropped_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+def dropped_lines(docs: DataFrame, min_length: int = MIN_LENGTH, min_documents: int = MIN_DOCUMENTS, batches: int = BATCHES) -> DataFrame:
     """doc_id and the hashes of the lines it loses, for documents that lose any."""
-    hot = repeated_lines(docs, min_length, min_documents)
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.explode(hashes_of(F.col("text"), min_length)).alias("key"))
-    found = lines.select("doc_id", "key.h1", "key.h2").join(hot, _KEY).filter(F.col("doc_id") != F.col("max_id"))
+    folder = scratch.new_folder(docs.sparkSession, "line_dedup")
+    lines = line_hashes(docs, folder, min_length, batches)
+    hot = repeated_lines(lines, folder, min_documents)
+    found = lines.select("doc_id", *_KEY).join(hot, _KEY).filter(F.col("doc_id") != F.col("max_id"))
     return found.groupBy("doc_id").agg(F.collect_set(F.struct(*_KEY)).alias("drop"))
 
 

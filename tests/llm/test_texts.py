@@ -86,10 +86,11 @@ def test_line_dedup_equals_brute_force(spark):
 
 
 @pytest.mark.parametrize("batches", [1, 3, 7])
-def test_line_runs_are_whatever_the_batches(spark, batches):
+def test_line_runs_are_whatever_the_batches(spark, tmp_path, batches):
     rng = random.Random(batches)
     rows = [(i, "\n".join(rng.choices([c * 50 for c in "abcdefghijklmnop"], k=3))) for i in range(100)]
-    hot = line_dedup.repeated_lines(docs(spark, rows), batches=batches).collect()
+    folder = f"file://{tmp_path}"
+    hot = line_dedup.repeated_lines(line_dedup.line_hashes(docs(spark, rows), folder, 40, batches), folder).collect()
     holders = defaultdict(set)
     for i, t in rows:
         for x in t.split("\n"):
@@ -97,6 +98,15 @@ def test_line_runs_are_whatever_the_batches(spark, batches):
     assert sorted(r["max_id"] for r in hot) == sorted(max(h) for h in holders.values() if len(h) >= 5)
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    hot, own = "h" * 60, "o" * 60
+    rows = [(1, hot), (7, hot), (7, hot), (7, f"{hot}\n{hot}"), (9, hot)]
+    assert all(r["n_dropped"] == 0 for r in line_dedup.line_dedup(docs(spark, rows)).collect())
+    rows += [(2, hot), (3, hot), (9, f"{own}\n{hot}")]
+    found = sorted((r["doc_id"], r["n_lines"], r["n_dropped"]) for r in line_dedup.line_dedup(docs(spark, rows)).collect())
+    assert found == [(1, 1, 1), (2, 1, 1), (3, 1, 1), (7, 1, 1), (7, 1, 1), (7, 2, 2), (9, 1, 0), (9, 2, 0)]
+
+
 def test_line_dedup_odd_rows(spark):
     found = line_dedup.line_dedup(table(spark, ODD_ROWS)).collect()
     assert len(found) == len(ODD_ROWS)
@@ -107,6 +117,8 @@ def test_line_dedup_odd_rows(spark):
     rows = [(None, hot, "en", "s")] * 3 + [(i, hot, "en", "s") for i in range(5)]
     found = line_dedup.line_dedup(table(spark, rows)).collect()
     assert sum(r["n_dropped"] for r in found) == 4 and all(r["n_dropped"] == 0 for r in found if r["doc_id"] is None)
+    found = line_dedup.line_dedup(table(spark, [(i, hot, "en", "s") for i in range(4)] + [(None, hot, "en", "s")])).collect()
+    assert all(r["n_dropped"] == 0 for r in found)
 
 
 # --- quality ---------------------------------------------------------------------------
