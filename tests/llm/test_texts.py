@@ -6,6 +6,8 @@ import itertools
 import math
 import random
 import re
+import unicodedata
+import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -44,13 +46,80 @@ def test_language_odd_rows(spark):
     for r in rows:
         text = next(t for i, t, *_ in ODD_ROWS if i == r["doc_id"]) if r["doc_id"] is not None else None
         assert 0 <= r["score"] <= 1
-        if r["doc_id"] is not None and not re.search(r"[^\W\d_]", text or ""):
+        if r["doc_id"] is not None and not any(c.isalpha() for c in text or ""):
             assert (r["lang_pred"], r["score"]) == ("und", 0.0)
         if r["doc_id"] is None:
             assert r["held_out"]
     assert language_id.language_id(table(spark, [])).count() == 0
 
 
+def test_only_letters_make_words(spark):
+    rows = [(i, "good words here", "en", "s") for i in range(10)] + [(20, "½ ² ① Ⅷ _ 12 ٣", "en", "s"), (21, "\u0301", None, "s"), (22, "Ⅷ ª", None, "s"), (23, "हिन्दी", None, "s")]
+    found = by_id(language_id.language_id(table(spark, rows)))
+    assert [found[i]["lang_pred"] for i in (20, 21, 22, 23)] == ["und", "und", "en", "en"]
+    assert language_id.words_of("हिन्दी É\u0301a x2y ½z Ⅷ don't") == ["हिन्दी", "é\u0301a", "x", "y", "z", "don", "t"]
+
+
+def plain_scores(text, model):
+    """The method once more, over plain dictionaries of counts."""
+    words, pieces, langs = model
+    found, word = [], ""
+    for c in (text or "").lower() + " ":
+        if c.isalpha() or word and unicodedata.category(c) in ("Mn", "Mc"):
+            word += c
+        elif word:
+            found.append(word)
+            word = ""
+    if not found:
+        return {}
+    size = lambda t: sum(len(t2) == t for t2 in pieces)
+    total = dict.fromkeys(langs, 0.0)
+    for w in found:
+        for lang in langs:
+            if w in words:
+                total[lang] += math.log((words[w].get(lang, 0) + 0.5) / (sum(c.get(lang, 0) for c in words.values()) + 0.5 * len(words)))
+                continue
+            for n in range(5, 0, -1):
+                known = [g for i in range(len(w) + 3 - n) if (g := f"<{w}>"[i : i + n]) in pieces]
+                if known:
+                    base = sum(c.get(lang, 0) for g, c in pieces.items() if len(g) == n) + 0.5 * size(n)
+                    total[lang] += sum(math.log((pieces[g].get(lang, 0) + 0.5) / base) for g in known) / len(known) + (6 - n) * math.log(0.4)
+                    break
+    most = max(total.values())
+    return {k: math.exp(v - most) / sum(math.exp(x - most) for x in total.values()) for k, v in total.items()}
+
+
+def test_language_scores_equal_a_plain_scorer(spark):
+    rng = random.Random(12)
+    stock = {"en": ["the", "thing", "through", "now"], "de": ["der", "ding", "durch", "nun"], "xx": ["thé", "dung"]}
+    rows = [(i, " ".join(rng.choices(stock[lang], k=5)), lang, "s") for i, lang in enumerate(rng.choices(list(stock), k=80))]
+    rows += [(100 + i, "".join(rng.choices("thedrugnin é½ ", k=30)), None, "s") for i in range(20)]
+    trained = language_id.train(table(spark, rows), max_words=8, max_grams=60)
+    counts = [(lang, w) for i, t, lang, _ in rows if lang for w in t.split() if zlib.crc32(str(i).encode()) % 5]
+    words, pieces = defaultdict(Counter), defaultdict(Counter)
+    for lang, w in counts:
+        words[w][lang] += 1
+        for n in range(1, 6):
+            for i in range(len(w) + 3 - n):
+                pieces[f"<{w}>"[i : i + n]][lang] += 1
+    first = lambda table, n: {t: table[t] for t in sorted(table, key=lambda t: (-sum(table[t].values()), t))[:n]}
+    model = first(words, 8), first(pieces, 60), sorted(stock)
+    assert set(trained.words.at) == set(model[0])
+    found = by_id(language_id.language_id(table(spark, rows), trained))
+    for i, text, *_ in rows:
+        want = plain_scores(text, model)
+        best = min((-round(p, 12), k) for k, p in want.items())[1] if want else "und"
+        assert found[i]["lang_pred"] == best and math.isclose(found[i]["score"], want.get(best, 0.0), abs_tol=1e-9)
+
+
+def test_language_model_is_bounded_with_many_languages(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "MAX_CELLS", 400)
+    rows = [(i, f"word{'abcdefghij'[i % 10]} common text", f"l{i % 100}", "s") for i in range(600)]
+    model = language_id.train(table(spark, rows))
+    assert len(model.langs) == 100 and model.words.rows.size <= 400 and "common" in model.words.at
+    assert language_id.Predictor(model).most == 4
+
+
 def test_language_learns_nothing_from_held_out_rows(spark):
     ids = [i for i in range(200)]
     out = {r["doc_id"] for r in docs(spark, [(i, "x") for i in ids]).filter(language_id.held_out(F.col("doc_id"))).collect()}
