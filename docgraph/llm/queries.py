@@ -42,14 +42,16 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.warc_captures(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    fields = F.col("capture.metadata.fields")
-    return captures.select(
-        fields["page-id"].try_cast("long").alias("page_id"),
-        # A revisit has no payload to measure, only its declared length.
-        F.coalesce("capture.response.payload_bytes", fields["payload-length"].cast("long")).alias("payload_bytes"),
+    page = F.col("capture.metadata.fields")["page-id"].try_cast("long").alias("page_id")
+    named = captures.select("capture", page, F.col("capture.response.payload_bytes").alias("n_bytes"))
+    revisit = F.col("capture.response.type") == "revisit"
+    return warc.resolve(named, "page_id", "n_bytes").select(
+        "page_id",
+        # A revisit has no payload of its own: it was measured where it refers to.
+        F.when(revisit, F.col("original.n_bytes")).otherwise(F.col("n_bytes")).alias("payload_bytes"),
         F.col("capture.response.digest").alias("payload_digest"),
         F.col("capture.response.type").alias("record_type"),
-        F.try_element_at(fields, F.lit("refers-to-page")).try_cast("long").alias("refers_to"),
+        F.when(revisit, F.col("original.page_id")).alias("refers_to"),
     )
 
 

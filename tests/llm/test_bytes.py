@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import random
+import re
 import zlib
+from collections import Counter
+from pathlib import Path
 
+import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
@@ -145,7 +150,8 @@ def test_warc_captures(spark):
     rows = [(5, "http://a/5", big), (3, "http://a/3", big), (9, "http://b\r\n/9", big), (1, "u", "tiny"), (2, "u", "tiny"), (4, None, None), (7, "v", other), (7, "v", other), (None, "w", big)]
     captures = warc.warc_captures(pages(spark, rows), with_payload=True).collect()
     assert len(captures) == len(rows)
-    got = sorted(((c["capture"]["metadata"]["fields"]["page-id"], c["capture"]["response"]["type"], c["capture"]["metadata"]["fields"].get("refers-to-page")) for c in captures), key=str)
+    ids = {c["capture"]["response"]["record_id"]: c["capture"]["metadata"]["fields"]["page-id"] for c in captures if c["capture"]["response"]["type"] == "response"}
+    got = sorted(((c["capture"]["metadata"]["fields"]["page-id"], c["capture"]["response"]["type"], ids.get(c["capture"]["response"]["refers_to"])) for c in captures), key=str)
     assert got == sorted([("5", "revisit", "3"), ("3", "response", None), ("9", "revisit", "3"), ("1", "response", None), ("2", "response", None), ("4", "response", None), ("7", "response", None), ("7", "response", None), ("", "revisit", "3")], key=str)
     for c in captures:
         capture = c["capture"]
@@ -153,32 +159,74 @@ def test_warc_captures(spark):
         if capture["response"]["type"] == "response":
             payload = bytes(capture["response"]["payload"])
             assert hashlib.sha256(payload).hexdigest() == capture["response"]["digest"]
-            assert int(capture["metadata"]["fields"]["payload-length"]) == len(payload)
+            assert capture["response"]["payload_bytes"] == len(payload)
         else:
             assert capture["response"]["payload"] is None and capture["response"]["digest"] == sha(big)
     assert warc.warc_captures(pages(spark, [])).count() == 0
 
 
 def test_warc_keeps_odd_bytes_and_long_pages(spark):
-    rows = [(1, "u", "WARC/1.1\r\n\r\nContent-Length: 7\r\n\r\n" * 20), (2, "u", LONG), (3, "u", "\x00😀 ")]
+    rows = [(1, "u", "WARC/1.1\r\n\r\nContent-Length: 7\r\n\r\nWARC/1.1\r\n" * 20), (2, "u", LONG), (3, "u", "\x00😀 \r\n\r\n")]
     captures = warc.warc_captures(pages(spark, rows), with_payload=True).collect()
     assert {c["capture"]["metadata"]["fields"]["page-id"]: bytes(c["capture"]["response"]["payload"]).decode() for c in captures} == {str(i): h for i, _, h in rows}
 
 
-def test_warc_query_measures_payloads(spark, sf_dir, monkeypatch):
-    payload = b"x" * 50
-    archive = warc.capture(1, "u", payload, hashlib.sha256(payload).hexdigest(), None, False).replace(b"payload-length: 50", b"payload-length: 99")
-    captures = warc.assemble(warc.read_records(spark.createDataFrame([(bytearray(archive),)], "warc binary"), with_payload=False))
-    monkeypatch.setattr(warc, "warc_captures", lambda _: captures)
-    assert queries.op7_warc(spark, sf_dir).head()["payload_bytes"] == 50
-
-
-def test_warc_damage_is_found():
-    archive = warc.capture(1, "u", b"x" * 50, "d", None, False)
-    with pytest.raises(ValueError):
-        list(warc.records(archive[:-3]))
-    with pytest.raises(ValueError):
-        list(warc.records(b"HELLO\r\n\r\n" + archive))
+def test_warc_files_are_real(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 2000)
+    rows = [(i, f"http://h/{i}", f"<p>{i % 7}" + "z" * 150) for i in range(60)]
+    path = warc.write_archives(pages(spark, rows), f"file://{tmp_path}")
+    files = sorted(Path(path.removeprefix("file://")).glob("*.gz"))
+    assert len(files) > 5
+    kinds = Counter(h["warc-type"] for f in files for h, _, error in warc.records(gzip.decompress(f.read_bytes())) if error is None)
+    assert kinds == {"request": 60, "metadata": 60, "response": 7, "revisit": 53}
+    for f in files:
+        for headers, _, error in warc.records(gzip.decompress(f.read_bytes())):
+            assert error is None and ("warc-refers-to" in headers) == (headers["warc-type"] == "revisit")
+
+
+def test_warc_query_equals_its_sql(spark, sf_dir, tmp_path):
+    """Payloads are measured where they are read, and links go by record ids."""
+    big = "b" * 120
+    rows = [(1, "u", big), (2, "v", big), (3, None, None), (4, "w", "short"), (5, "w", "short"), (6, "ü\n", big), (7, "x", "é" * 50), (8, "x", "é" * 50), (9, "y", "é" * 49), (10, "y", "é" * 49)]
+    pages(spark, rows).write.parquet(f"{tmp_path}/pages.parquet")
+    pages_view = duckdb.connect()
+    pages_view.execute(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    want = pages_view.execute(queries.ORACLES["op7_warc"]).fetchall()
+    assert sorted(map(tuple, queries.op7_warc(spark, str(tmp_path)).collect()), key=str) == sorted(want, key=str)
+
+
+def parsed(archive):
+    return [(h.get("warc-type"), error) for h, _, error in warc.records(archive)]
+
+
+def test_warc_damage_is_reported_and_passed_over(spark):
+    one, two = (warc.capture(i, "u", b"x" * 50, hashlib.sha256(b"x" * 50).hexdigest(), None, None, False) for i in (1, 2))
+    good = ["request", "response", "metadata"]
+    assert [k for k, _ in parsed(one + two)] == good * 2
+    cut = parsed(one[:-3])
+    assert [k for k, _ in cut] == ["request", "response", None] and "cut short" in cut[2][1]
+    assert parsed(b"HELLO\r\n\r\n" + one)[0] == (None, "byte 0: no version line") and [k for k, _ in parsed(b"HELLO\r\n\r\n" + one)][1:] == good
+    lied = re.sub(rb"Content-Length: \d{3}", b"Content-Length: 999", one, count=1)  # the response's
+    assert [k for k, _ in parsed(lied + two)] == ["request", None, "metadata", *good]
+    changed = one.replace(b"x" * 50, b"x" * 49 + b"y")
+    packed = gzip.compress(one) + gzip.compress(two)
+    broken = bytearray(packed)
+    broken[-4] ^= 1
+    wrong = {
+        lied + two: "block is cut short or its length differs",
+        changed: "payload differs from its digest",
+        packed[:-20]: "gzip stream is cut short",
+        bytes(broken): "incorrect length check",
+        b"\x1f\x8bnothing": "unknown compression method",
+        packed: None,
+        b"": None,
+    }
+    for archive, error in wrong.items():
+        rows = warc.read_records(spark.createDataFrame([(bytearray(archive),)], "warc binary"))
+        found = [r["error"] for r in rows.filter("error is not null").collect()]
+        assert any(error in e for e in found) if error else not found, (error, found)
+        whole = warc.assemble(rows).filter("capture.response is not null and capture.metadata is not null").count()
+        assert whole >= {lied + two: 1, packed: 2, packed[:-20]: 1, bytes(broken): 2}.get(archive, 0)
 
 
 # --- BPE ---------------------------------------------------------------------------------
