@@ -33,11 +33,11 @@ MEMO = 400_000
 
 
 def read_ranks(path: str) -> list[bytes]:
-    """Tokens by rank; ranks must be 0, 1, 2 and so on."""
+    """Tokens by rank; ranks must be 0, 1, 2 and so on, each once."""
     with open(path, "rb") as lines:
         pairs = [line.split() for line in lines if line.strip()]
     ranks = {int(rank): base64.b64decode(token) for token, rank in pairs}
-    if sorted(ranks) != list(range(len(ranks))):
+    if sorted(ranks) != list(range(len(pairs))):
         raise ValueError("ranks aren't consecutive")
     return [ranks[i] for i in range(len(ranks))]
 

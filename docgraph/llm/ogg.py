@@ -1,7 +1,8 @@
 """Media columns in Ogg: documents as 8-bit samples in a physical Ogg stream.
 
-``store`` writes each text as two multiplexed logical streams, one of 8-bit mono
-samples and one of metadata. ``read`` walks the pages of such bytes, verifies
+``store`` writes each text as two multiplexed logical streams whose pages alternate, one
+of 8-bit mono samples and one of metadata about them (the length of the text, then
+the time reached by each page of samples). ``read`` walks the pages of such bytes, verifies
 every page's checksum, reassembles packets from the lacing values (also across
 pages), demultiplexes the logical streams by serial number and derives times from
 granule positions.
@@ -65,7 +66,7 @@ def encode(payload: bytes, n_bytes: int) -> bytes:
     pages = [
         _single(FIRST, 0, SAMPLES, 0, b"\x7fPCM8\x01" + struct.pack("<II", RATE, 1)),
         _single(FIRST, 0, META, 0, b"\x7fMETA\x01"),
-        _single(LAST, n_bytes, META, 1, b"n_bytes=%d" % n_bytes),
+        _single(0, 0, META, 1, b"n_bytes=%d" % n_bytes),
     ]
     full, rest = divmod(len(payload), PACKET)
     lacing = _laced(PACKET) * full + (_laced(rest) if rest else b"")
@@ -78,6 +79,7 @@ def encode(payload: bytes, n_bytes: int) -> bytes:
         granule = done if done > at // PACKET * PACKET or not open_end else _NO_GRANULE
         last = LAST if begin + 255 >= len(lacing) else 0
         pages.append(_page(continued | last, granule, SAMPLES, number, own, payload[at:end]))
+        pages.append(_single(last, done, META, number + 1, b"ms=%d" % (done * 1000 // RATE)))
         at, number, continued = end, number + 1, CONTINUED if open_end else 0
     return b"".join(pages)
 
@@ -150,6 +152,9 @@ def decode(media: bytes) -> tuple[bytes, int, dict[str, int | float]]:
     granule = samples.marks[-1][0]
     if granule != len(payload):
         raise ValueError("granule position differs from the samples")
+    marked = [int(m.partition(b"=")[2]) for m in meta.packets[2:]]
+    if marked[-1:] != [granule * 1000 // rate] or marked != sorted(marked):
+        raise ValueError("metadata's times differ from the samples'")
     wave = np.frombuffer(payload, np.uint8).astype(np.int16) - 128
     features = {
         "streams": len(streams),

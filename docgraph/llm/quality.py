@@ -1,11 +1,11 @@
 """Quality classification by an interpolated modified Kneser-Ney model of trusted text.
 
 The model is over characters (UTF-16 units, so that an n-gram of four is exactly one
-64-bit number), of order four, with three discounts an order, continuation counts
+64-bit number; control characters, tab and newline too, count as blanks), of order four, with three discounts an order, continuation counts
 below the highest order, and a uniform floor. It is fitted on the whole of the
 trusted text.
 
-Documents are written once in chunks of bounded rows, bucketed by chunk. A chunk
+Documents are written once in chunks of bounded rows and bytes, bucketed by chunk. A chunk
 asks for its distinct n-grams only, so what is shuffled follows the number of
 distinct n-grams a chunk, not the length of the text. Counts are sharded by n-gram;
 joins of asked n-grams with counts, with context totals and with the next lower
@@ -24,7 +24,7 @@ trusted. A null lang forms a language of its own. Rows repeat as in the input;
 other columns are ignored.
 """
 
-from __future__ import annotations
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,7 +36,7 @@ from docgraph.sources import scratch
 from docgraph.llm.language_id import held_out
 
 ORDER = 4
-#: Rows of a chunk at most, and bytes of text that it is meant to have (by the mean length).
+#: Rows of a chunk at most, and bytes of text after which it ends.
 CHUNK_ROWS = 8192
 CHUNK_BYTES = 32 << 20
 #: Symbols that a task turns into n-grams at a time.
@@ -83,6 +83,24 @@ def slices(texts: pa.ChunkedArray):
         yield begin, own
 
 
+def _chunks(most_rows: int, most_bytes: int):
+    """A column function: the number of the chunk within its partition, from the lengths of rows in order."""
+
+    @F.pandas_udf("long")
+    def number(lengths: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        chunk = rows = size = 0
+        for batch in lengths:
+            out = []
+            for own in batch.tolist():
+                if rows and (rows >= most_rows or size + own > most_bytes):
+                    chunk, rows, size = chunk + 1, 0, 0
+                rows, size = rows + 1, size + own
+                out.append(chunk)
+            yield pd.Series(out, dtype="int64")
+
+    return number
+
+
 def _gather(docs: pa.Table, trusted: pa.Table) -> pa.Table:
     """A chunk's distinct n-grams with their counts in its trusted documents."""
     train = set(trusted.column("id").to_pylist())
@@ -157,10 +175,7 @@ def probabilities(grams: DataFrame, folder: str) -> DataFrame:
 
 def perplexities(docs: DataFrame, trusted: DataFrame, folder: str) -> DataFrame:
     """doc_id, lang, n_symbols, nll of each row of ``docs``; the model learns from ``trusted`` (doc_id)."""
-    mean = docs.agg(F.avg(F.octet_length("text"))).head()[0] or 1
-    rows = max(1, min(CHUNK_ROWS, int(CHUNK_BYTES // max(mean, 1))))
-    row = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
-    chunk = F.shiftleft(F.spark_partition_id().cast("long"), 33) + (row / rows).cast("long")
+    chunk = F.shiftleft(F.spark_partition_id().cast("long"), 33) + _chunks(CHUNK_ROWS, CHUNK_BYTES)(F.octet_length(F.coalesce("text", F.lit(""))))
     columns = docs.select(chunk.alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
     table = scratch.bucketed(columns, folder, "chunks", scratch.shuffle_partitions(docs.sparkSession), "chunk", codec="zstd")
     ids = table.select(F.col("chunk").alias("of"), F.col("doc_id").alias("id")).join(trusted.select(F.col("doc_id").alias("id")).distinct(), "id", "left_semi")

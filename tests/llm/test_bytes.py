@@ -32,6 +32,11 @@ def sha(text):
 # --- exact dedup -------------------------------------------------------------------
 
 
+def test_exact_dedup_of_one_id_with_several_texts(spark):
+    found = exact_dedup.exact_dedup(docs(spark, [(1, "a"), (1, "b"), (2, "a")])).collect()
+    assert sorted((r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in found) == [(1, 1, 1, True), (1, 2, 2, False), (2, 2, 2, True)]
+
+
 @pytest.mark.parametrize(("key_bits", "capacity"), [(64, 512), (3, 1), (1, 2)])
 def test_exact_dedup_equals_brute_force(spark, key_bits, capacity):
     rng = random.Random(1)
@@ -114,6 +119,42 @@ def test_ogg_packets_run_over_pages():
     assert granules == sorted(granules) and granules[-1] == 192 * 600
 
 
+def multiplexed(rng, packets):
+    """Streams of packets (by serial number) in pages of random sizes, which take turns at random."""
+    waiting = {}
+    for serial, own in packets.items():
+        lacing = b"".join(b"\xff" * (len(p) // 255) + bytes([len(p) % 255]) for p in own)
+        body, at, cuts = b"".join(own), 0, []
+        while at < len(lacing):
+            cuts.append(lacing[at : at + rng.randint(1, 9)])
+            at += len(cuts[-1])
+        pages, place, continued = [], 0, 0
+        for number, lace in enumerate(cuts):
+            end = place + sum(lace)
+            flags = continued | (ogg.FIRST if not number else 0) | (ogg.LAST if number == len(cuts) - 1 else 0)
+            pages.append(ogg._page(flags, end, serial, number, lace, body[place:end]))
+            place, continued = end, ogg.CONTINUED if lace[-1] == 255 else 0
+        waiting[serial] = pages
+    out = []
+    while any(waiting.values()):
+        out.append(waiting[rng.choice([s for s, pages in waiting.items() if pages])].pop(0))
+    return b"".join(out)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_ogg_streams_that_take_turns_are_told_apart(seed):
+    rng = random.Random(seed)
+    packets = {serial: [rng.randbytes(rng.choice([0, 1, 254, 255, 256, 700, 3000])) for _ in range(rng.randint(1, 12))] for serial in (7, 8, 9)}
+    streams = ogg.demultiplex(multiplexed(rng, packets))
+    assert {serial: s.packets for serial, s in streams.items()} == packets
+
+
+def test_ogg_pages_of_stored_texts_alternate():
+    media = ogg.encode(b"y" * 192 * 1800, 1)
+    serials = [int.from_bytes(media[m.start() + 14 : m.start() + 18], "little") for m in re.finditer(b"OggS\0", media)]
+    assert serials[3:] == [ogg.SAMPLES, ogg.META] * ((len(serials) - 3) // 2) and len(serials) > 12
+
+
 @pytest.mark.parametrize("at", [0, 5, 30, 100, 2000])
 def test_ogg_damage_is_found(at):
     media = bytearray(ogg.encode(b"z" * 192 * 20, 3))
@@ -248,6 +289,13 @@ def test_bpe_equals_tiktoken(reference, text):
     assert codec.decode(ids) == text.encode()
 
 
+def test_bpe_ranks_must_be_whole(tmp_path):
+    for lines in (b"YQ== 0\nYg== 0\nYw== 1\n", b"YQ== 0\nYg== 2\n"):
+        (tmp_path / "ranks").write_bytes(lines)
+        with pytest.raises(ValueError):
+            bpe.read_ranks(str(tmp_path / "ranks"))
+
+
 def test_bpe_table(spark, reference):
     out = bpe.decode(bpe.encode(table(spark, ODD_ROWS), PATH, PATTERN), PATH, PATTERN).collect()
     assert len(out) == len(ODD_ROWS)

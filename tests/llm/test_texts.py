@@ -281,6 +281,23 @@ def test_chunks_do_not_change_perplexity(spark, tmp_path, monkeypatch):
     assert all(math.isclose(whole[i]["nll"], cut[i]["nll"], rel_tol=1e-9) for i in whole)
 
 
+def test_chunks_are_bounded_by_rows_and_bytes(spark, tmp_path, monkeypatch):
+    """A run of long documents fills several chunks, a longer one has a chunk of its own."""
+    monkeypatch.setattr(quality, "CHUNK_BYTES", 1000)
+    monkeypatch.setattr(quality, "CHUNK_ROWS", 20)
+    lengths = [5] * 50 + [400] * 7 + [5000] + [0] * 30
+    numbers = quality._chunks(20, 1000)
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "i long, n int").coalesce(1)
+    found = df.select("i", "n", numbers(F.col("n")).alias("chunk")).groupBy("chunk").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()
+    assert all(r["rows"] <= 20 and (r["n"] <= 1000 or r["rows"] == 1) for r in found) and len(found) > 8
+    texts = [(i, "long text " * n) for i, n in enumerate(lengths)]
+    trusted = spark.createDataFrame([(i,) for i in range(40, 60)], "doc_id long")
+    cut = by_id(quality.perplexities(docs(spark, texts), trusted, f"file://{tmp_path}/a"))
+    monkeypatch.undo()
+    whole = by_id(quality.perplexities(docs(spark, texts), trusted, f"file://{tmp_path}/b"))
+    assert all(math.isclose(whole[i]["nll"], cut[i]["nll"], rel_tol=1e-9) for i in whole)
+
+
 # --- license scans -----------------------------------------------------------------------
 
 
