@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from docgraph.functions import names, noise
 from docgraph.functions.markup import two_places
 from docgraph.operators import crawl, graph, resolve, timeline, views
-from docgraph.sources import fragments, manifests
+from docgraph.sources import fragments, manifests, publish, scratch
 
 TABLES = ("nodes", "mentions", "edges")
 
@@ -53,12 +53,13 @@ def report_lines(nodes: DataFrame, edges: DataFrame, title: str) -> list[str]:
 def run(spark: SparkSession, a: argparse.Namespace) -> int:
     if a.command == "validate":
         rows = manifests.read_submissions(spark, a.submissions)
-        has_file = F.lit(False) if a.files is None else F.col("source.file").isin([r["name"] for r in spark.read.format("binaryFile").load(a.files).select(F.element_at(F.split("path", "/"), -1).alias("name")).collect()])
-        found = rows.select("slug", F.coalesce(F.when(F.col("error").isNotNull(), F.array("error")), manifests.problems(F.col("source"), has_file, F.lit(True))).alias("problems")).filter(F.size("problems") > 0)
-        bad = found.collect()
-        for r in bad:
+        names_ = spark.read.format("binaryFile").load(a.files).select(F.element_at(F.split("path", "/"), -1).alias("there")).distinct() if a.files else spark.createDataFrame([], "there string")
+        joined = rows.join(names_, F.col("source.file") == F.col("there"), "left")
+        found = joined.select("slug", F.coalesce(F.when(F.col("error").isNotNull(), F.array("error")), manifests.problems(F.col("source"), F.col("there").isNotNull(), F.lit(True))).alias("problems")).filter(F.size("problems") > 0)
+        n = 0
+        for n, r in enumerate(found.orderBy("slug").toLocalIterator(), 1):  # a partition at a time  # noqa: B007
             print(f"{r['slug']}: {'; '.join(r['problems'])}")
-        return int(bool(bad))
+        return int(n > 0)
     if a.command == "merge":
         nodes, mentions, edges = fragments.fragment_tables(fragments.read_fragments(spark, a.fragments))
         save(a.out, graph.merge_nodes(nodes), graph.merge_mentions(mentions), graph.merge_edges(edges))
@@ -82,17 +83,26 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
             removed = spark.read.parquet(a.verdicts)
             kept, edges = graph.apply_removals(nodes, edges, removed)
             save(a.out, kept, mentions.join(removed.select("id"), "id", "left_anti"), edges)
-        elif a.command in ("merge-people", "merge-orgs"):
-            groups = spark.read.parquet(a.verdicts)
-            remove = nodes.filter((F.col("type") == "Person") & noise.is_initials(F.col("name"))) if a.command == "merge-people" else nodes.limit(0)
-            kept, edges = graph.apply_groups(nodes, edges, groups, remove.select("id"))
+        elif a.command == "merge-people":
+            groups, not_people = graph.people_verdicts(graph.people_groups(nodes), spark.read.parquet(a.replies))
+            initials = nodes.filter((F.col("type") == "Person") & noise.is_initials(F.col("name")))
+            kept, edges = graph.apply_groups(nodes, edges, groups, not_people.union(initials.select("id")))
+            save(a.out, kept, mentions.join(kept.select("id"), "id", "left_semi"), edges)
+        elif a.command == "merge-orgs":
+            orgs = graph.batches(nodes.filter("type = 'Organization'").withColumn("all", F.lit(0)), [F.col("ord")], a.size, ["all"])
+            groups, not_orgs = graph.org_verdicts(orgs, spark.read.parquet(a.replies))
+            kept, edges = graph.apply_groups(nodes, edges, groups, not_orgs)
             save(a.out, kept, mentions.join(kept.select("id"), "id", "left_semi"), edges)
         elif a.command == "geocode":
             places = nodes.filter(F.col("type").isin(noise.PLACE_TYPES) & (F.col("name") != "")).select("id", "name")
             none = spark.createDataFrame([], "place_name string, reply string"), spark.createDataFrame([], "id string, cached string")
             replies = spark.read.parquet(a.replies) if a.replies else none[0]
             misses = spark.read.parquet(a.misses) if a.misses else none[1]
-            resolve.geocode(places, spark.read.parquet(a.candidates), replies, misses).write.mode("overwrite").parquet(a.out)
+            geocoded = scratch.materialise(resolve.geocode(places, spark.read.parquet(a.candidates), replies, misses), scratch.new_folder(spark, "geocode"), "results")
+            for r in publish.geocode_counts(geocoded).orderBy("reason").collect():
+                print(f"{r['reason']}: {r['n']}")
+            if not a.dry_run:
+                geocoded.write.mode("overwrite").parquet(a.out)
         elif a.command == "timeline":
             about = manifests.read_metadata(spark, a.metadata)
             sources = about.select(F.concat(F.lit("source:"), "slug").alias("source"), "slug", "title", "type", F.lit(None).cast("string").alias("thumbnail"), "date_added")
@@ -123,9 +133,9 @@ def arguments() -> argparse.ArgumentParser:
     command("suspects", "nodes that a verdict should be asked for", "graph", "out")
     for name in ("llm-clean", "llm-clean-places"):
         command(name, "remove the nodes of a verdict table (id)", "graph", "verdicts", "out")
-    for name in ("merge-people", "merge-orgs"):
-        command(name, "merge the groups of a verdict table (id, canonical, canonical_name)", "graph", "verdicts", "out")
-    command("geocode", "coordinates of places from candidates", "graph", "candidates", "out", replies=None, misses=None)
+    command("merge-people", "merge people by replies (surname, reply) about those who share a surname", "graph", "replies", "out")
+    command("merge-orgs", "merge organizations by replies (batch, reply) about batches of them", "graph", "replies", "out", size=60)
+    command("geocode", "coordinates of places from candidates, or with a dry run only their counts", "graph", "candidates", "out", replies=None, misses=None, dry_run=0)
     command("timeline", "timeline items", "graph", "metadata", "out")
     command("export", "JSON lines of nodes and edges", "graph", "out")
     return parser

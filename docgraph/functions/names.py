@@ -180,3 +180,18 @@ def cache_key(*parts: Column) -> Column:
 def dms_to_degrees(degrees: Column, minutes: Column, seconds: Column, ref: Column) -> Column:
     value = degrees + minutes / 60 + seconds / 3600
     return F.when(ref.isin("S", "W"), -value).otherwise(value)
+
+
+def short_place(display_name: Column) -> Column:
+    """The first three parts of an address."""
+    return F.array_join(F.slice(F.split(F.coalesce(display_name, F.lit("")), ","), F.lit(1), F.lit(3)), ",")
+
+
+def cache_file(id_: Column) -> Column:
+    """The file of an id in a cache of files."""
+    return F.concat(F.translate(id_, ":/", "__"), F.lit(".json"))
+
+
+def first_and_more(items: Column, n: int) -> Column:
+    """The first ``n`` items, and how many more there are."""
+    return F.struct(F.slice(items, F.lit(1), F.lit(n)).alias("shown"), F.greatest(F.size(items) - n, F.lit(0)).alias("more"))

@@ -1,8 +1,8 @@
 """Object detections per video frame: merging, tracks, filters and scenes.
 
 Detections: video, frame, x, y, w, h, fill_ratio. What is a fold over frames runs in
-grouped Arrow functions; a video is cut wherever no track can outlive a gap, so one
-long video doesn't land in one task.
+grouped Arrow functions; a video is cut wherever no track can outlive a gap. What has
+no such gap is one task: tracking is sequential, and its state is the active tracks.
 """
 
 from __future__ import annotations
@@ -35,21 +35,26 @@ def gap_column(a: Column, b: Column) -> Column:
 
 
 def union_boxes(boxes: list[tuple], distance: float) -> list[tuple]:
-    """Join the first two boxes (x, y, w, h, fill) within ``distance`` until none are; fill follows the areas."""
-    boxes = list(boxes)
-    at = 0
-    while at < len(boxes):
-        near = next((k for k in range(at + 1, len(boxes)) if gap(boxes[at], boxes[k]) <= distance), None)
-        if near is None:
-            at += 1
-            continue
-        a, b = boxes[at], boxes.pop(near)
-        x, y = min(a[0], b[0]), min(a[1], b[1])
-        w, h = max(a[0] + a[2], b[0] + b[2]) - x, max(a[1] + a[3], b[1] + b[3]) - y
-        filled = a[4] * a[2] * a[3] + b[4] * b[2] * b[3]
-        boxes[at] = (x, y, w, h, filled / (w * h))
-        at = 0
-    return boxes
+    """Boxes (x, y, w, h, fill) joined until no two are within ``distance``, by x and y; fill follows the areas.
+
+    Joining only grows boxes, so the end is the same in whatever order they are taken:
+    each takes in at once all settled boxes that it reaches, and queues up again.
+    """
+    settled = np.empty((0, 5))  # left, top, right, bottom, filled area
+    queue = [np.array([x, y, x + w, y + h, fill * w * h]) for x, y, w, h, fill in boxes]
+    while queue:
+        own = queue.pop()
+        apart = np.maximum(0.0, np.maximum(settled[:, :2], own[:2]) - np.minimum(settled[:, 2:4], own[2:4]))
+        reached = np.hypot(apart[:, 0], apart[:, 1]) <= distance
+        if reached.any():
+            every = np.vstack([settled[reached], own])
+            queue.append(np.concatenate([every[:, :2].min(axis=0), every[:, 2:4].max(axis=0), [every[:, 4].sum()]]))
+            settled = settled[~reached]
+        else:
+            settled = np.vstack([settled, own])
+    sizes = settled[:, 2:4] - settled[:, :2]
+    out = np.column_stack([settled[:, :2], sizes, settled[:, 4] / sizes.prod(axis=1)])
+    return sorted(map(tuple, out.tolist()))
 
 
 def merge_candidates(detections: DataFrame, distance: float) -> DataFrame:
@@ -58,7 +63,7 @@ def merge_candidates(detections: DataFrame, distance: float) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = []
         for frame, own in pdf.groupby("frame"):
-            boxes = list(own.sort_values(["x", "y", "w", "h"])[["x", "y", "w", "h", "fill_ratio"]].itertuples(index=False, name=None))
+            boxes = list(own[["x", "y", "w", "h", "fill_ratio"]].itertuples(index=False, name=None))
             rows += [(pdf["video"].iloc[0], frame, *b) for b in union_boxes(boxes, distance)]
         return pd.DataFrame(rows, columns=["video", "frame", "x", "y", "w", "h", "fill_ratio"])
 
@@ -67,45 +72,42 @@ def merge_candidates(detections: DataFrame, distance: float) -> DataFrame:
     return blocks.groupBy("video", "__block").applyInPandas(run, DETECTION_DDL)
 
 
-def link(rows: list[tuple], max_jump: float, max_gap: int = MAX_GAP) -> list[int]:
-    """The track number of each (frame, x, y, w, h) row, rows sorted by frame.
+def nearest_first(distance: np.ndarray, limit: float) -> np.ndarray:
+    """For each row the column that it is matched with, or -1: the smallest distances first, one to one."""
+    columns = distance.shape[1]
+    out = np.full(len(distance), -1)
+    taken = np.zeros(columns, bool)
+    order = np.argsort(distance, axis=None, kind="stable")
+    for place in order[: np.count_nonzero(distance <= limit)]:
+        row, column = divmod(int(place), columns)
+        if out[row] < 0 and not taken[column]:
+            out[row], taken[column] = column, True
+    return out
+
+
+def link(frames: np.ndarray, boxes: np.ndarray, max_jump: float, max_gap: int = MAX_GAP) -> np.ndarray:
+    """The track number of each box (x, y, w, h) of ``frames``, which rise.
 
-    Within a frame the closest pairs of candidate and active track are matched first,
-    one to one; sizes must be comparable unless both are specks.
+    In each frame the distances of its boxes to where tracks were last seen make a
+    matrix; pairs of too different sizes are struck out unless both are specks. What
+    stays unmatched begins tracks.
     """
-    tracks: list[list] = []  # frame and box of the last detection
-    active: list[int] = []
-    out = [-1] * len(rows)
-    begin = 0
-    while begin < len(rows):
-        frame = rows[begin][0]
-        end = begin
-        while end < len(rows) and rows[end][0] == frame:
-            end += 1
-        active = [t for t in active if frame - tracks[t][0] <= max_gap]
-        pairs = []
-        for i in range(begin, end):
-            _, x, y, w, h = rows[i]
-            for t in active:
-                _, lx, ly, lw, lh = tracks[t]
-                area, last = w * h, lw * lh
-                if (area >= SPECK or last >= SPECK) and not 0.25 <= area / last <= 4.0:
-                    continue
-                distance = float(np.hypot(x + w / 2 - lx - lw / 2, y + h / 2 - ly - lh / 2))
-                if distance <= max_jump:
-                    pairs.append((distance, i, t))
-        used = set()
-        for _, i, t in sorted(pairs, key=lambda p: p[0]):
-            if out[i] < 0 and t not in used:
-                out[i] = t
-                used.add(t)
-                tracks[t] = list(rows[i])
-        for i in range(begin, end):
-            if out[i] < 0:
-                out[i] = len(tracks)
-                active.append(out[i])
-                tracks.append(list(rows[i]))
-        begin = end
+    out = np.empty(len(frames), np.int64)
+    last, seen = np.empty((0, 4)), np.empty(0, np.int64)
+    starts = np.flatnonzero(np.diff(frames, prepend=frames[:1] - 1)) if len(frames) else np.empty(0, np.int64)
+    for begin, end in zip(starts, np.append(starts, len(frames))[1:], strict=True):
+        own, frame = boxes[begin:end], frames[begin]
+        active = np.flatnonzero(frame - seen <= max_gap)
+        there = last[active]
+        apart = (own[:, None, :2] + own[:, None, 2:] / 2) - (there[None, :, :2] + there[None, :, 2:] / 2)
+        area, before = own[:, 2:].prod(axis=1)[:, None], there[:, 2:].prod(axis=1)[None, :]
+        alike = (area >= before / 4) & (area <= before * 4) | (area < SPECK) & (before < SPECK)
+        matched = nearest_first(np.where(alike, np.hypot(apart[..., 0], apart[..., 1]), np.inf), max_jump) if len(active) else np.full(len(own), -1)
+        fresh = matched < 0
+        numbers = np.where(fresh, len(seen) + np.cumsum(fresh) - 1, active[matched] if len(active) else 0)
+        last, seen = np.vstack([last, own[fresh]]), np.append(seen, np.full(fresh.sum(), frame))
+        last[numbers], seen[numbers] = own, frame
+        out[begin:end] = numbers
     return out
 
 
@@ -123,8 +125,8 @@ def link_tracks(detections: DataFrame, max_jump: float, max_gap: int = MAX_GAP)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["frame", "x", "y", "w", "h"]).reset_index(drop=True)
-        numbers = link(list(pdf[["frame", "x", "y", "w", "h"]].itertuples(index=False, name=None)), max_jump, max_gap)
-        pdf["track"] = pdf["video"] + "/" + pdf["segment"].astype(str) + "/" + pd.Series(numbers, dtype=int).astype(str)
+        numbers = link(pdf["frame"].to_numpy(), pdf[["x", "y", "w", "h"]].to_numpy(float), max_jump, max_gap)
+        pdf["track"] = pdf["video"] + "/" + pdf["segment"].astype(str) + "/" + pd.Series(numbers).astype(str)
         return pdf[["video", "frame", "x", "y", "w", "h", "fill_ratio", "track"]]
 
     return segments(detections, max_gap).groupBy("video", "segment").applyInPandas(run, DETECTION_DDL + ", track string")
@@ -206,9 +208,13 @@ def filter_trajectory(detections: DataFrame, max_jump: float = 0.0, window: int
     return d.join(figures, "video").withColumn("kept", (F.col("n") < window) | near & sized).select(*detections.columns, "kept")
 
 
-def candidate_gate(width: float, height: float, min_area: float, max_share: float = 0.05, border: float = 2) -> Column:
-    """Whether a detection has a plausible size and doesn't touch the border."""
+def candidate_gate(width: float, height: float, min_area: float, max_share: float = 0.05, border: float = 2, region: tuple[float, float, float, float] | None = None) -> Column:
+    """Whether a detection has a plausible size, doesn't touch the border, and has its centre in ``region`` (x, y, w, h) if given."""
     area = F.col("w") * F.col("h")
+    if region is not None:
+        x, y, w, h = region
+        cx, cy = F.col("x") + F.col("w") / 2, F.col("y") + F.col("h") / 2
+        return candidate_gate(width, height, min_area, max_share, border) & (cx >= x) & (cx < x + w) & (cy >= y) & (cy < y + h)
     inside = (F.col("x") >= border) & (F.col("y") >= border) & (F.col("x") + F.col("w") <= width - border) & (F.col("y") + F.col("h") <= height - border)
     return (area >= min_area) & (area <= width * height * max_share) & inside
 
@@ -253,6 +259,38 @@ def crop_geometry(detections: DataFrame, padding: float) -> DataFrame:
     return detections.groupBy("video").agg(even("w").alias("crop_w"), even("h").alias("crop_h"))
 
 
+def strongest(detections: DataFrame, most: int) -> DataFrame:
+    """The ``most`` detections of each frame with the largest filled area; ties by place."""
+    filled = F.col("w") * F.col("h") * F.col("fill_ratio")
+    rank = F.row_number().over(Window.partitionBy("video", "frame").orderBy(filled.desc(), "x", "y", "w", "h"))
+    return detections.withColumn("__rank", rank).filter(F.col("__rank") <= most).drop("__rank")
+
+
+def frame_candidates(detections: DataFrame, distance: float, max_area: float, before: int = 200, after: int = 30) -> DataFrame:
+    """The candidates of frames: the strongest ``before`` are merged, and of what is no larger than ``max_area`` the strongest ``after`` stay."""
+    return strongest(merge_candidates(strongest(detections, before), distance).filter(F.col("w") * F.col("h") <= max_area), after)
+
+
+def crop_offsets(crops: DataFrame) -> DataFrame:
+    """crops (track, x, y, ...) with ``dx`` and ``dy``: how far each lies from the track's least corner."""
+    low = Window.partitionBy("track")
+    return crops.withColumn("dx", F.col("x") - F.min("x").over(low)).withColumn("dy", F.col("y") - F.min("y").over(low))
+
+
+def best_aligned(frames: DataFrame, most: int = 15, around: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Of frames (track, frame, ncc): the ``most`` that agree best, and the ``around`` consecutive ones about the best.
+
+    Both come by frame number; ties go to the earlier frame. Where the best frame is near an end the run shifts inwards.
+    """
+    by_track = Window.partitionBy("track")
+    placed = frames.withColumn("place", F.row_number().over(by_track.orderBy("frame")))
+    top = placed.withColumn("rank", F.row_number().over(by_track.orderBy(F.desc("ncc"), "frame")))
+    best = F.max(F.when(F.col("rank") == 1, F.col("place"))).over(by_track)
+    begin = F.greatest(F.lit(1), F.least(best - around // 2, F.max("place").over(by_track) - around + 1))
+    placed_best = top.withColumn("begin", begin)
+    return top.filter(F.col("rank") <= most).select("track", "frame", "ncc"), placed_best.filter(F.col("place").between(F.col("begin"), F.col("begin") + around - 1)).select("track", "frame", "ncc")
+
+
 def sharpness_weights(frames: DataFrame) -> DataFrame:
     """frames (track, frame, sharpness) with ``weight``: shares of the track's sum, or as they are where it is 0."""
     total = F.sum("sharpness").over(Window.partitionBy("track"))

@@ -9,14 +9,19 @@ mention a node is a table of its own, so no node gathers an unbounded list; see
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.functions import names, noise
 from docgraph.functions.names import MENTIONED_IN, RELATED_TO, SOURCE_TYPE, TYPE_PRIORITY
+from docgraph.operators.ranking import rank_within
 from docgraph.sources import scratch
 
 
+#: Sources of a node in one published row.
+PART_SOURCES = 10_000
+
+
 def merge_nodes(nodes: DataFrame) -> DataFrame:
     """id, type, name, ord: of rows with one id the first decides."""
     best = F.min(F.struct("ord", "type", "name")).alias("best")
@@ -33,11 +38,25 @@ def mention_counts(mentions: DataFrame) -> DataFrame:
     return mentions.groupBy("id").agg(F.count("*").alias("mention_count"), F.min(F.struct("ord", "source"))["source"].alias("first_source"))
 
 
-def node_documents(nodes: DataFrame, mentions: DataFrame) -> DataFrame:
-    """Merged nodes with ``aliases`` (always empty) and ``mentioned_in`` in order of appearance, as published."""
-    lists = mentions.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "source"))), lambda m: m["source"]).alias("mentioned_in"))
+def mention_parts(mentions: DataFrame, size: int = PART_SOURCES) -> DataFrame:
+    """id, part, sources: each node's sources in order of appearance, in numbered parts of at most ``size``.
+
+    No task gathers the list of a hub: a rank over all mentions, less the rank at
+    which the node begins, tells the part.
+    """
+    numbered = batches(mentions.select("id", "source", "ord"), [F.col("ord"), F.col("source")], size, ["id"])
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("ord", "source"))), lambda m: m["source"])
+    return numbered.groupBy("id", F.col("batch").alias("part")).agg(listed.alias("sources"))
+
+
+def node_documents(nodes: DataFrame, mentions: DataFrame, size: int = PART_SOURCES) -> DataFrame:
+    """Merged nodes with ``aliases`` (always empty) and ``mentioned_in`` in order of appearance, as published.
+
+    A node with more than ``size`` sources has several rows, by ``part`` from 0.
+    """
     empty = F.array().cast("array<string>")
-    return nodes.join(lists, "id", "left").select("id", "type", "name", empty.alias("aliases"), F.coalesce("mentioned_in", empty).alias("mentioned_in"), "ord")
+    joined = nodes.join(mention_parts(mentions, size), "id", "left")
+    return joined.select("id", "type", "name", empty.alias("aliases"), F.coalesce("sources", empty).alias("mentioned_in"), F.coalesce("part", F.lit(0)).cast("long").alias("part"), "ord")
 
 
 def merge_edges(edges: DataFrame) -> DataFrame:
@@ -209,21 +228,73 @@ def people_groups(nodes: DataFrame) -> DataFrame:
     return people.join(shared, "surname").select("surname", "id", "name", "ord")
 
 
+def _groups(members: DataFrame, by: list[str]) -> DataFrame:
+    """id, canonical, canonical_name of groups: ``members`` (by, at, id, ord, canonical_name), the first of a group is canonical.
+
+    Groups with one known member don't count. Where an id is in several groups, the one said last decides.
+    """
+    named = members.groupBy(*by, "at", "id").agg(F.min("ord").alias("ord"), F.first("canonical_name").alias("canonical_name"))
+    heads = named.groupBy(*by, "at").agg(F.min(F.struct("ord", "id"))["id"].alias("canonical"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    said = named.join(heads, [*by, "at"])
+    last = F.max(F.struct("at", "canonical", "canonical_name")).alias("last")
+    renamed = said.filter("id = canonical").groupBy("id").agg(last)
+    merged = said.filter("id <> canonical").groupBy("id").agg(last)
+    return renamed.union(merged).select("id", "last.canonical", "last.canonical_name")
+
+
+_PEOPLE_REPLY = "groups array<array<string>>, canonical map<string,string>, not_people array<string>"
+_ORG_REPLY = "merge_groups array<array<string>>, canonical map<string,string>, not_orgs array<string>"
+
+
+def people_verdicts(people: DataFrame, replies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups (id, canonical, canonical_name) and removals (id) from replies (surname, reply) about people who share a surname.
+
+    ``people`` as :func:`people_groups` gives them. A group names variants; its
+    members are the people of that surname with such a name, its name the one that
+    the reply maps its first mapped variant to, else its longest variant (the first
+    of them). A reply that isn't an object says nothing.
+    """
+    told = replies.select("surname", F.from_json("reply", _PEOPLE_REPLY).alias("r"))
+    groups = told.select("surname", "r.canonical", F.posexplode("r.groups").alias("at", "variants")).filter(F.size("variants") > 1)
+    mapped = F.filter(F.transform("variants", lambda v: F.try_element_at("canonical", v)), lambda n: n.isNotNull())
+    first_mapped = F.when(F.col("canonical").isNotNull(), F.get(mapped, F.lit(0)))
+    longest = F.aggregate("variants", F.lit(""), lambda best, v: F.when(F.length(v) > F.length(best), v).otherwise(best))
+    groups = groups.select("surname", "at", "variants", F.coalesce(F.when(first_mapped != "", first_mapped), longest).alias("canonical_name"))
+    wanted = groups.select("surname", "at", "canonical_name", F.explode(F.array_distinct("variants")).alias("name"))
+    removed = told.select("surname", F.explode("r.not_people").alias("name")).distinct()
+    return _groups(people.join(wanted, ["surname", "name"]), ["surname"]), people.join(removed, ["surname", "name"], "left_semi").select("id").distinct()
+
+
+def org_verdicts(orgs: DataFrame, replies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups and removals from replies (batch, reply) about organizations (batch, id, name, ord).
+
+    Of organizations of one name in a batch the last counts. The first name of a
+    group that is known stands for it; the group's name is what the reply maps its
+    first name to, or that name.
+    """
+    known = orgs.groupBy("batch", "name").agg(F.max(F.struct("ord", "id"))["id"].alias("id"))
+    told = replies.select("batch", F.from_json("reply", _ORG_REPLY).alias("r"))
+    groups = told.select("batch", "r.canonical", F.posexplode("r.merge_groups").alias("at", "listed")).filter(F.size("listed") > 1)
+    first = F.get("listed", F.lit(0))
+    called = F.coalesce(F.when(F.col("canonical").isNotNull(), F.try_element_at("canonical", first)), first)
+    members = groups.select("batch", "at", called.alias("canonical_name"), F.posexplode("listed").alias("ord", "name"))
+    removed = told.select("batch", F.explode("r.not_orgs").alias("name")).distinct()
+    return _groups(members.join(known, ["batch", "name"]), ["batch"]), known.join(removed, ["batch", "name"], "left_semi").select("id").distinct()
+
+
 def apply_groups(nodes: DataFrame, edges: DataFrame, groups: DataFrame, remove: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Merge verdict groups (id, canonical, canonical_name) and remove further ids.
+    """Merge verdict groups (id, canonical, canonical_name) and remove further ids with their edges.
 
     The canonical node takes the canonical name; the others go, and so do their
     mentions. Ids are replaced once, not transitively.
     """
     merged = groups.filter("id <> canonical").select("id", "canonical")
     gone = merged.select("id").union(remove.select("id")).distinct()
-    renamed = groups.select(F.col("canonical").alias("id"), "canonical_name").distinct()
+    renamed = groups.filter("id = canonical").select("id", "canonical_name").distinct()
     out = nodes.join(gone, "id", "left_anti").join(renamed, "id", "left").withColumn("name", F.coalesce("canonical_name", "name")).drop("canonical_name")
-    kept = without_edges_of(rewrite_edges(edges, merged), remove.join(merged, "id", "left_anti").select("id"))
-    return out, kept
+    return out, rewrite_edges(without_edges_of(edges, remove.select("id").distinct()), merged)
 
 
 def batches(df: DataFrame, order: list[Column], size: int, within: list[str]) -> DataFrame:
     """``batch``: consecutive groups of ``size`` rows, in order, within each partition key."""
-    n = F.row_number().over(Window.partitionBy(*within).orderBy(*order))
-    return df.withColumn("batch", ((n - 1) / size).cast("long"))
+    return rank_within(df, within, order, "__place").withColumn("batch", F.floor(F.col("__place") / size)).drop("__place")

@@ -34,12 +34,16 @@ def snippets(mentions: DataFrame, documents: DataFrame) -> DataFrame:
     return mentions.join(documents, "source").withColumn("snippet", markup.context_snippet(F.col("text"), F.col("start"), F.col("end"))).drop("text")
 
 
-def chunks_with_entities(documents: DataFrame, entities: DataFrame) -> DataFrame:
-    """source, pos, chunk, names: pieces of documents in which two or more of their entities occur."""
-    pieces = documents.select("source", F.posexplode(markup.chunks(F.col("text"))).alias("pos", "chunk"))
-    found = pieces.join(entities.select("source", "name"), "source").filter(F.contains(F.lower("chunk"), F.lower("name")))
-    listed = found.groupBy("source", "pos").agg(F.array_sort(F.collect_set("name")).alias("names")).filter(F.size("names") >= 2)
-    return pieces.join(listed, ["source", "pos"])
+def chunks_with_entities(documents: DataFrame, entities: DataFrame, least: int = 2) -> DataFrame:
+    """source, pos, chunk, names: pieces of documents in which ``least`` or more of their entities occur.
+
+    A document meets its names as one list, before it is cut, so nothing is joined by piece and name.
+    """
+    listed = entities.groupBy("source").agg(F.array_sort(F.collect_set(F.struct("name", F.lower("name").alias("lower")))).alias("listed")).filter(F.size("listed") >= least)
+    pieces = documents.join(listed, "source").select("source", "listed", F.posexplode(markup.chunks(F.col("text"))).alias("pos", "chunk"))
+    found = F.filter("listed", lambda n: F.contains(F.col("lowered"), n["lower"]))
+    hits = pieces.withColumn("lowered", F.lower("chunk")).withColumn("names", F.transform(found, lambda n: n["name"])).filter(F.size("names") >= least)
+    return hits.select("source", "pos", "chunk", "names")
 
 
 def prompt(chunk: Column, entity_names: Column) -> Column:
@@ -52,11 +56,12 @@ def prompt(chunk: Column, entity_names: Column) -> Column:
     )
 
 
-def relationships(chunks: DataFrame, entities: DataFrame, cache: DataFrame, complete: Callable[[str], str | None], model: str) -> DataFrame:
-    """source, subject, predicate, object, confidence, extracted_by from cached or new replies about chunks."""
-    asked = manifests.complete(chunks.withColumn("prompt", prompt(F.col("chunk"), F.col("names"))), cache, complete, "prompt")
+def relationships(chunks: DataFrame, entities: DataFrame, cache: DataFrame, complete: Callable[[str], str | None], model: str) -> tuple[DataFrame, DataFrame]:
+    """source, subject, predicate, object, confidence, extracted_by from cached or new replies about chunks; and the grown cache."""
+    asked, grown = manifests.complete(chunks.withColumn("prompt", prompt(F.col("chunk"), F.col("names"))), cache, complete, "prompt")
     rows = asked.select("source", F.explode(markup.reply_rows(F.col("value"))).alias("r")).select("source", "r.*")
-    return resolve.relationship_ids(rows, entities.select("source", "id", "name", "ord")).withColumn("extracted_by", F.lit(model)).select("source", "subject", "predicate", "object", "confidence", "extracted_by")
+    found = resolve.relationship_ids(rows, entities.select("source", "id", "name", "ord")).withColumn("extracted_by", F.lit(model))
+    return found.select("source", "subject", "predicate", "object", "confidence", "extracted_by"), grown
 
 
 def fragments(sources: DataFrame, entities: DataFrame, extracted: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -24,3 +24,17 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataF
         total += sizes[part]
     starts = df.sparkSession.createDataFrame(offsets, "__part long, __start long")
     return placed.join(F.broadcast(starts), "__part").withColumn(name, F.col("__start") + F.col("__row")).drop("__part", "__row", "__start")
+
+
+def rank_within(df: DataFrame, within: list[str], order: list[Column], name: str = "rank") -> DataFrame:
+    """``df`` with its row's place from 0 in the order ``order`` among the rows that share ``within``.
+
+    It is the rank over everything less the rank at which the key begins, so that a
+    common key is no one task's. Null keys are alike.
+    """
+    ranked = global_rank(df, [*(F.col(w) for w in within), *order], "__at")
+    ranked = scratch.materialise(ranked, scratch.new_folder(df.sparkSession, "rank"), "placed")
+    begins = ranked.groupBy(*(F.col(w).alias(f"__{w}") for w in within)).agg(F.min("__at").alias("__begin"))
+    same = [F.col(w).eqNullSafe(F.col(f"__{w}")) for w in within]
+    joined = ranked.join(begins, same).withColumn(name, F.col("__at") - F.col("__begin"))
+    return joined.drop("__at", "__begin", *(f"__{w}" for w in within))

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docgraph.functions import noise
+from docgraph.operators.components import components
+from docgraph.operators.ranking import global_rank
+from docgraph.sources import scratch
 
 AMBIGUITY = 0.15
 MAX_CANDIDATES = 5
@@ -41,48 +44,193 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
+# Fixed order of characters for prefixes: from rare to common in names; what isn't listed is rarer than any of them.
+_COMMON_LAST = "zqxjkvbpygfwmucldrhsnioate "
+
+
+def _tokens(name: Column) -> Column:
+    """The characters of a lower-cased name as sorted numbers: rare ones first, then those seen more often before.
+
+    Numbered by occurrence, they are sets that overlap as the multisets of characters do.
+    """
+    letters = F.filter(F.split(F.lower(name), ""), lambda c: c != "")
+
+    def token(c: Column, i: Column) -> Column:
+        rank = F.instr(F.lit(_COMMON_LAST), c).cast("long")
+        before = F.size(F.filter(F.slice(letters, F.lit(1), i), lambda x: x == c)).cast("long")
+        return F.when(rank > 0, F.lit(1 << 48)).otherwise(F.lit(0)) + F.shiftleft(F.lit(65535).cast("long") - F.least(before, F.lit(65535)), 32) + F.shiftleft(rank, 24) + F.ascii(c)
+
+    return F.array_sort(F.transform(letters, token))
+
+
+def similar_names(wanted: DataFrame, owned: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of rows of ``wanted`` (type, wanted, ...) and ``owned`` (type, own, ...) whose names' ratio is ``threshold`` or more, with ``score``.
+
+    The ratio is twice the matching characters over both lengths, and no more
+    characters can match than the multisets have in common. So names of lengths
+    a and b that reach the threshold share t = ceil(threshold (a + b) / 2) tokens (characters numbered by
+    occurrence), and then their prefixes of a - t + 1 and b - t + 1 tokens in any fixed order share one:
+    pairs meet by type, length and one rare token, each pair at its first common token only. The multisets' bound
+    comes before scoring, which is the only step in Python.
+    """
+    factor = threshold / (2 - threshold)
+    need = lambda a, b: F.ceil((a + b) * threshold / 2 - 1e-9)
+    ask = wanted.withColumn("__a", F.length(F.lower("wanted")).cast("long")).withColumn("__tokens", _tokens(F.col("wanted")))
+    low, high = F.ceil(F.col("__a") * factor - 1e-9), F.floor(F.col("__a") / factor + 1e-9)
+    ask = ask.withColumn("__b", F.explode(F.sequence(low, high))).withColumn("__prefix", F.slice("__tokens", F.lit(1), (F.col("__a") - need(F.col("__a"), F.col("__b")) + 1).cast("int")))
+    there = owned.withColumn("__b", F.length(F.lower("own")).cast("long")).withColumn("__own_tokens", _tokens(F.col("own")))
+    least = F.ceil(F.col("__b") * factor - 1e-9)
+    there = there.withColumn("__own_prefix", F.slice("__own_tokens", F.lit(1), (F.col("__b") - need(least, F.col("__b")) + 1).cast("int")))
+    met = ask.withColumn("__token", F.explode("__prefix")).join(there.withColumn("__token", F.explode("__own_prefix")), ["type", "__b", "__token"])
+    first = F.array_min(F.array_intersect("__prefix", "__own_prefix")) == F.col("__token")
+    enough = F.size(F.array_intersect("__tokens", "__own_tokens")) >= need(F.col("__a"), F.col("__b"))
+    # Names without characters match each other only.
+    empty = wanted.filter("wanted = ''").join(owned.filter("own = ''"), "type")
+    columns = [*wanted.columns, *(c for c in owned.columns if c != "type")]
+    pairs = met.filter(first & enough).select(columns).union(empty.select(columns))
+    return pairs.withColumn("score", similarity(F.col("wanted"), F.col("own"))).filter(F.col("score") >= threshold)
+
+
+def _names_of(registry: DataFrame) -> DataFrame:
+    """type, found, ord, pos, own: every name (pos 0) and alias of the registry."""
+    listed = F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))
+    return registry.select("type", F.col("id").alias("found"), "ord", F.posexplode(listed).alias("pos", "own"))
+
+
 def fuzzy(entities: DataFrame, registry: DataFrame, threshold: float = 0.8) -> DataFrame:
     """entity, found, score, rank: registry entries of the same type whose name, or else an alias, is similar.
 
-    Twice the shorter length over the sum bounds the ratio, so entities meet only
-    registry names of lengths that can reach the threshold: an equi-join on type and
-    length. Of an entry's aliases the first similar one counts. Entities: id, type, name.
+    Of an entry's aliases the first similar one counts. Entities: id, type, name.
     """
-    factor = threshold / (2 - threshold)
-    low, high = F.ceil(F.length("name") * factor - 1e-9), F.floor(F.length("name") / factor + 1e-9)
-    asking = entities.select(F.col("id").alias("entity"), "type", F.col("name").alias("wanted"), F.explode(F.sequence(low, high)).alias("size"))
-    named = registry.select("type", F.col("id").alias("found"), "ord", F.posexplode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("pos", "own"))
-    pairs = asking.join(named.withColumn("size", F.length("own").cast("long")), ["type", "size"])
-    scored = pairs.withColumn("score", similarity(F.col("wanted"), F.col("own"))).filter(F.col("score") >= threshold)
+    asking = entities.select(F.col("id").alias("entity"), "type", F.col("name").alias("wanted"))
+    scored = similar_names(asking, _names_of(registry), threshold)
     best = scored.groupBy("entity", "found").agg(F.min(F.struct("pos", "score", "ord")).alias("b")).select("entity", "found", "b.score", "b.ord")
     rank = F.row_number().over(Window.partitionBy("entity").orderBy(F.desc("score"), "ord", "found"))
     return best.withColumn("rank", rank).select("entity", "found", "score", "rank")
 
 
+class Resolver:
+    """The sequential pass over entities that depend on each other: alike names, one name or one id.
+
+    ``places`` tells the order of registry entries, ``confirmed`` the pairs of an entity and an entry
+    that a verdict takes for the same.
+    """
+
+    def __init__(self, places: dict[str, int], confirmed: set[tuple[str, str]]) -> None:
+        self.places, self.confirmed = places, confirmed
+        self.names: dict[str, str] = {}  # names that this pass has given to entries, as their own or as aliases
+        self.new: dict[str, int] = {}  # entries that it has made, in order
+        self.called: dict[str, list[int]] = {}  # entities whose names an entry has got here
+
+    def take(self, key: int, id_: str, name: str, known: list[tuple], earlier: dict[int, float]) -> tuple[str, str]:
+        """The canonical id of an entity, and the step that gave it.
+
+        ``known`` are similar names of the registry (entry, place of the name, score),
+        ``earlier`` the scores of similar earlier entities.
+        """
+        if id_ in self.new:
+            return id_, "id"
+        if name in self.names:
+            return self.names[name], "batch"
+        scores = {found: score for found, _, score in sorted(known, key=lambda k: -k[1])}
+        for found, keys in self.called.items():
+            own = next((earlier[k] for k in keys if k in earlier), None)
+            if own is not None:
+                scores.setdefault(found, own)
+        best = min(scores, key=lambda f: (-scores[f], f in self.new, self.new.get(f, self.places.get(f, 0))), default=None)
+        if (id_, best) in self.confirmed:
+            self.names[name] = best
+            self.called.setdefault(best, []).append(key)
+            return best, "fuzzy"
+        self.names[name] = id_
+        self.new[id_] = len(self.new)
+        self.called[id_] = [key]
+        return id_, "new"
+
+
 def disambiguate(entities: DataFrame, registry: DataFrame, verdicts: DataFrame | None = None, threshold: float = 0.7) -> DataFrame:
     """entities (id, type, name, ord) with ``canonical`` and ``step``: id, name, fuzzy, batch or new.
 
-    Steps as in a sequential pass: the registry's id, its first entry of that name
-    or alias, the best similar entry if a verdict (entity, found) confirms it, the
-    first entity of this batch with the same id or the same type and name, else the
-    entity becomes an entry of its own.
+    The outcome is that of one pass in the order of ``ord`` over a registry that grows:
+    the registry's entry of that id, its first entry of that name or alias, the most
+    similar entry if a verdict (entity, found) confirms it, which then gets the name as
+    an alias, else a new entry; later entities meet new entries and aliases.
+
+    Only entities that no entry has by id or name are left for the pass. They depend
+    on each other where names are alike or ids or names are the same, so the pass runs
+    on each connected component of these relations by itself. Without verdicts names
+    needn't be alike, and everything is joins. Entities alike in id, type and name get
+    what the first of them got.
     """
     first = by_id(entities, registry).withColumnRenamed("found", "same_id")
     second = first.join(name_index(registry).withColumnRenamed("found", "same_name"), ["type", "name"], "left")
-    if verdicts is not None:
-        agreed = fuzzy(entities, registry, threshold).filter("rank = 1").join(verdicts.select("entity", "found"), ["entity", "found"], "left_semi")
-        second = second.join(agreed.select(F.col("entity").alias("id"), F.col("found").alias("similar")), "id", "left")
-    else:
-        second = second.withColumn("similar", F.lit(None).cast("string"))
-    known = F.coalesce("same_id", "same_name", "similar")
-    second = second.withColumn("known", known)
+    second = second.withColumn("known", F.coalesce("same_id", "same_name"))
     unknown = second.filter("known is null")
-    in_batch = unknown.groupBy("type", "name").agg(F.min(F.struct("ord", "id"))["id"].alias("batch_first"))
-    out = second.join(in_batch, ["type", "name"], "left")
-    step = (
-        F.when(F.col("same_id").isNotNull(), "id").when(F.col("same_name").isNotNull(), "name").when(F.col("similar").isNotNull(), "fuzzy").when(F.col("batch_first") != F.col("id"), "batch").otherwise("new")
-    )
-    return out.select("id", "type", "name", "ord", F.coalesce("known", "batch_first").alias("canonical"), step.alias("step"))
+    if verdicts is None:
+        in_batch = unknown.groupBy("type", "name").agg(F.min(F.struct("ord", "id"))["id"].alias("batch_first"))
+        out = second.join(in_batch, ["type", "name"], "left")
+        later = F.when(F.col("batch_first") != F.col("id"), "batch").otherwise("new")
+    else:
+        folder = scratch.new_folder(entities.sparkSession, "disambiguate")
+        own = _pass(unknown.select("id", "type", "name", "ord"), registry, verdicts, threshold, folder)
+        out = second.join(own, ["id", "type", "name"], "left")
+        later = F.col("own_step")
+    step = F.when(F.col("same_id").isNotNull(), "id").when(F.col("same_name").isNotNull(), "name").otherwise(later)
+    canonical = F.coalesce("known", "batch_first")
+    return out.select("id", "type", "name", "ord", canonical.alias("canonical"), step.alias("step"))
+
+
+_PASS_DDL = "id string, type string, name string, batch_first string, own_step string"
+
+
+def _pass(unknown: DataFrame, registry: DataFrame, verdicts: DataFrame, threshold: float, folder: str) -> DataFrame:
+    """id, type, name, batch_first, own_step of each distinct unknown entity."""
+    distinct = unknown.groupBy("id", "type", "name").agg(F.min("ord").alias("ord"))
+    units = scratch.materialise(global_rank(distinct, [F.col("ord"), F.col("id"), F.col("name")], "key"), folder, "units").drop("ord")
+    asking = units.select("key", "type", F.col("name").alias("wanted"))
+    entries = scratch.materialise(global_rank(registry.select("id", "type", "name", "aliases", "ord"), [F.col("ord"), F.col("id")], "place"), folder, "registry")
+    known = scratch.materialise(similar_names(asking, _names_of(entries.drop("ord").withColumnRenamed("place", "ord")), threshold).select("key", "found", F.col("ord").alias("place"), "pos", "score"), folder, "known")
+    others = units.select("type", F.col("key").alias("other"), F.col("name").alias("own"))
+    alike = scratch.materialise(similar_names(asking, others, threshold).filter("other < key").select("key", "other", "score"), folder, "alike")
+    same = [units.select(*by, "key").join(units.groupBy(*by).agg(F.min("key").alias("first")), by).select(F.col("key").alias("a"), F.col("first").alias("b")) for by in (["type", "name"], ["id"])]
+    # Entities that could take up one entry's aliases are alike themselves, or don't meet through them.
+    links = alike.select(F.col("key").alias("a"), F.col("other").alias("b")).union(same[0]).union(same[1])
+    label = components(links, folder, "alike").withColumnRenamed("node", "key")
+    by_key = known.groupBy("key").agg(F.collect_list(F.struct("found", "place", "pos", "score")).alias("known"))
+    earlier = alike.groupBy("key").agg(F.collect_list(F.struct("other", "score")).alias("earlier"))
+    told = verdicts.select(F.col("entity").alias("id"), "found").groupBy("id").agg(F.collect_set("found").alias("confirmed"))
+    rows = units.join(label, "key").join(by_key, "key", "left").join(earlier, "key", "left").join(told, "id", "left")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = pdf.sort_values("key").to_dict("records")
+        listed = lambda x: [] if x is None else list(x)
+        places = {k["found"]: k["place"] for r in rows for k in listed(r["known"])}
+        resolver = Resolver(places, {(r["id"], f) for r in rows for f in listed(r["confirmed"])})
+        out = []
+        for r in rows:
+            known = [(k["found"], k["pos"], k["score"]) for k in listed(r["known"])]
+            earlier = {e["other"]: e["score"] for e in listed(r["earlier"])}
+            out.append((r["id"], r["type"], r["name"], *resolver.take(r["key"], r["id"], r["name"], known, earlier)))
+        return pd.DataFrame(out, columns=["id", "type", "name", "batch_first", "own_step"])
+
+    return rows.groupBy("label").applyInPandas(run, _PASS_DDL)
+
+
+def grown_registry(registry: DataFrame, resolved: DataFrame) -> DataFrame:
+    """registry (id, name, type, aliases, sources, ord) after :func:`disambiguate`: confirmed names as aliases, new entries at the end.
+
+    ``ord`` of the registry and of ``resolved`` are numbers here. An alias that is already
+    there isn't added again.
+    """
+    confirmed = resolved.filter("step = 'fuzzy'").groupBy("canonical", "name").agg(F.min("ord").alias("at"))
+    added = confirmed.groupBy(F.col("canonical").alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "name"))), lambda x: x["name"]).alias("more"))
+    new = resolved.filter("step = 'new'").groupBy("id").agg(F.min(F.struct("ord", "name", "type")).alias("n"))
+    empty = F.array().cast("array<string>")
+    highest = registry.agg(F.max("ord")).head()[0]
+    fresh = new.select("id", "n.name", "n.type", empty.alias("aliases"), empty.alias("sources"), (F.lit(0 if highest is None else highest + 1) + F.col("n.ord")).cast("long").alias("ord"))
+    every = registry.select("id", "name", "type", F.coalesce("aliases", empty).alias("aliases"), F.coalesce("sources", empty).alias("sources"), F.col("ord").cast("long").alias("ord")).union(fresh)
+    grown = every.join(added, "id", "left")
+    return grown.withColumn("aliases", F.concat("aliases", F.array_except(F.coalesce("more", empty), "aliases"))).drop("more")
 
 
 def relationship_ids(rows: DataFrame, entities: DataFrame) -> DataFrame:
@@ -120,6 +268,13 @@ def picked_rank(reply: Column, n: Column) -> Column:
     return F.when(digit.between(1, n), digit).otherwise(1)
 
 
+def place_inputs(nodes: DataFrame, snippets: int = 3, length: int = 200) -> DataFrame:
+    """id, name, context of nodes (id, type, name, snippets) that can be looked up: places with an id and a name; the first snippets, cut."""
+    listed = F.transform(F.slice(F.coalesce("snippets", F.array().cast("array<string>")), F.lit(1), F.lit(snippets)), lambda s: F.substring(s, 1, length))
+    usable = F.col("type").isin(noise.PLACE_TYPES) & (F.coalesce("id", F.lit("")) != "") & (F.coalesce("name", F.lit("")) != "")
+    return nodes.filter(usable).select("id", "name", listed.alias("context"))
+
+
 def geocode(places: DataFrame, candidates: DataFrame, replies: DataFrame, misses: DataFrame) -> DataFrame:
     """id, name, lat, lng, confidence, reason: exactly one of coordinates and reason is null.
 

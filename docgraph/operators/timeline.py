@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.functions import names
 from docgraph.functions.dates import parse_date
-from docgraph.operators.ranking import global_rank
+from docgraph.operators.ranking import global_rank, rank_within
 
 #: Width of a card and the scale from which months count, in pixels (a year).
 CARD_WIDTH, MONTH_SCALE = 140, 40
@@ -104,6 +104,14 @@ def spans(items: DataFrame) -> DataFrame:
     return by.select("precision", "n", F.lit(0).alias("all")).join(total.withColumn("all", F.lit(0)), "all").drop("all")
 
 
+def of_types(items: DataFrame, types: list[str] | None) -> DataFrame:
+    """Items left by the filter on node types: dates with Date, sources with their own type or where no type is chosen, all others."""
+    if types is None:
+        return items
+    date, source = F.lit("Date" in types), F.lit(names.SOURCE_TYPE in types or not types)
+    return items.filter(F.when(F.col("type") == "date", date).when(F.col("type") == "source", source).otherwise(True))
+
+
 def score() -> Column:
     precision = names.lookup(F.col("precision"), {"day": 3, "month": 2, "season": 1}, F.lit(0))
     return F.when(F.col("thumbnail").isNotNull(), 20).otherwise(0) + 8 * F.col("n_events") + 4 * F.col("n_places") + 2 * F.col("n_sources") + precision
@@ -113,9 +121,9 @@ def layout(items: DataFrame) -> DataFrame:
     """Items with score, rank, the side they are on (alternating within a year) and stem level."""
     in_order = [F.coalesce("year", F.lit(9999)), F.coalesce("iso_start", F.lit("")), F.col("id")]
     ranked = global_rank(items.withColumn("score", score().cast("long")), [F.desc("score"), *in_order])
-    turn = F.row_number().over(Window.partitionBy("year").orderBy("rank"))
+    ranked = rank_within(ranked, ["year"], [F.col("rank")], "turn")
     level = F.pmod(names.rolling_hash(F.col("id")).bitwiseAND(0x7FFFFFFF), F.lit(3))
-    return ranked.withColumn("above", turn % 2 == 1).withColumn("stem_level", level.cast("int"))
+    return ranked.withColumn("above", F.col("turn") % 2 == 0).drop("turn").withColumn("stem_level", level.cast("int"))
 
 
 def position(px_per_year: float) -> Column:

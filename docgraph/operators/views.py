@@ -171,3 +171,41 @@ def event_places(edges: DataFrame, geocoded: DataFrame) -> DataFrame:
 
 def marker_size(mentions):
     return F.least(F.lit(24), F.greatest(F.lit(8), 8 + mentions))
+
+
+def place_popups(places: DataFrame, mentions: DataFrame, edges: DataFrame, n_sources: int = 5, n_neighbours: int = 4) -> DataFrame:
+    """id, short_name, sources, more_sources, neighbours (label, shared) of places (id, type, display_name).
+
+    The first sources by their place, and the first neighbouring places by their first
+    edge, with the number of edges that they share.
+    """
+    own = places.select("id", names.short_place(F.col("display_name")).alias("short_name"))
+    known = mentions.join(places.select("id"), "id", "left_semi")
+    by_id = Window.partitionBy("id")
+    first = known.withColumn("rank", F.row_number().over(by_id.orderBy("ord", "source"))).filter(F.col("rank") <= n_sources)
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("rank", "source"))), lambda m: names.pretty_id(m["source"]))
+    sources = first.groupBy("id").agg(listed.alias("sources"))
+    counts = known.groupBy("id").agg(F.count("*").alias("n"))
+    linked = between(edges, places.filter(F.col("type") == "Place")).filter("subject <> object")
+    both = linked.select(F.col("subject").alias("id"), F.col("object").alias("other"), "ord").union(linked.select("object", "subject", "ord"))
+    near = both.groupBy("id", "other").agg(F.count("*").alias("shared"), F.min("ord").alias("first"))
+    nearest = near.withColumn("rank", F.row_number().over(by_id.orderBy("first", "other"))).filter(F.col("rank") <= n_neighbours)
+    labelled = F.transform(F.array_sort(F.collect_list(F.struct("rank", "other", "shared"))), lambda m: F.struct(names.pretty_id(m["other"]).alias("label"), m["shared"].alias("shared")))
+    neighbours = nearest.groupBy("id").agg(labelled.alias("neighbours"))
+    joined = own.join(sources, "id", "left").join(counts, "id", "left").join(neighbours, "id", "left")
+    more = F.greatest(F.coalesce("n", F.lit(0)) - n_sources, F.lit(0)).cast("long")
+    return joined.select("id", "short_name", F.coalesce("sources", F.array().cast("array<string>")).alias("sources"), more.alias("more_sources"), "neighbours")
+
+
+def slug_thumbnails(slugs: DataFrame, items: DataFrame) -> DataFrame:
+    """slug, thumbnail: that of the first timeline item (ord, sources, thumbnail) one of whose sources contains the slug.
+
+    Sources and slugs meet by the slug's first three letters (all of a shorter slug).
+    """
+    sources = items.select("ord", "thumbnail", F.explode("sources").alias("source"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length("source"), F.lit(1)))
+    pieces = F.transform(starts, lambda i: F.array(*(F.substr(F.col("source"), i, F.lit(n)) for n in (1, 2, 3))))
+    grams = F.array_distinct(F.flatten(pieces))
+    met = sources.withColumn("gram", F.explode(grams)).join(slugs.filter("slug <> ''").withColumn("gram", F.substring("slug", 1, 3)), "gram")
+    hits = met.filter(F.contains("source", F.col("slug")))
+    return hits.groupBy("slug").agg(F.min(F.struct("ord", "thumbnail"))["thumbnail"].alias("thumbnail"))

@@ -50,14 +50,14 @@ def graph_stats_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {p.MERGED_NODES_SQL},
-m AS (SELECT id, source, ok, ln, pk, sk, ep, pos FROM nodes WHERE pos > 0 QUALIFY row_number() OVER (PARTITION BY id, source ORDER BY ok, ln, pk, sk, ep, pos) = 1)
-SELECT mn.id, mn.name, md5(coalesce(string_agg(m.source, ',' ORDER BY m.ok, m.ln, m.pk, m.sk, m.ep, m.pos), '')) AS mentioned_in
-FROM mn LEFT JOIN m ON m.id = mn.id WHERE mn.type = 'Organization' GROUP BY mn.id, mn.name""")
+m AS (SELECT id, source, min((ok, ln, pk, sk, ep, pos)) AS o FROM nodes WHERE pos > 0 GROUP BY id, source),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY o, source) - 1 AS n FROM m)
+SELECT mn.id, mn.name, coalesce(n // 1000, 0) AS part, md5(coalesce(string_agg(r.source, ',' ORDER BY n), '')) AS mentioned_in FROM mn LEFT JOIN r ON r.id = mn.id GROUP BY ALL""")
 def node_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nodes with their ordered sources, as published (a digest of the list)."""
+    """Nodes with their ordered sources in parts of a thousand, as published (a digest of each list)."""
     nodes, mentions, _ = p.graph(spark, sf_dir)
-    own = graph.merge_nodes(nodes.filter("type = 'Organization'"))
-    return graph.node_documents(own, graph.merge_mentions(mentions)).select("id", "name", F.md5(F.array_join("mentioned_in", ",")).alias("mentioned_in"))
+    published = graph.node_documents(graph.merge_nodes(nodes), graph.merge_mentions(mentions), 1000)
+    return published.select("id", "name", "part", F.md5(F.array_join("mentioned_in", ",")).alias("mentioned_in"))
 
 
 @query(f"WITH {p.DIRTY_SQL} SELECT id, type, name FROM n1")
@@ -178,32 +178,99 @@ def verdict_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.batches(c, [F.col("c_custkey")], 30, ["segment"]).select("id", "segment", "batch")
 
 
+# Replies about people who share a surname: two given names are one person, a third isn't a person.
+def _people_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    surnames = graph.people_groups(_people(spark, sf_dir)).select("surname").distinct()
+    s = F.col("surname")
+    reply = F.format_string(
+        '{"surname": "%s", "groups": [["Ann %s", "J. R. %s", "Nobody"], ["Bo %s", "Nobody"], ["Bo %s"]], "canonical": {"J. R. %s": "Julia Ann %s", "Bo %s": ""}, "not_people": %s}',
+        *[s] * 8, F.when(s == "McDonald", '["Bo McDonald", "Someone"]').otherwise("[]"),
+    )
+    return surnames.select("surname", F.when(s == "Machinery", "no object").otherwise(reply).alias("reply"))
+
+
+_PEOPLE_SQL = """pe AS (SELECT 'entity:person-' || c_custkey AS id, c_custkey, CASE WHEN c_custkey % 11 = 0 THEN 'J. R. R.' WHEN c_custkey % 13 = 0 THEN ['Ann', 'J. R.', 'Bo'][c_custkey % 3 + 1] || ' McDonald'
+  ELSE ['Ann', 'J. R.', 'Bo'][c_custkey % 3 + 1] || ' ' || upper(c_mktsegment[1]) || lower(c_mktsegment[2:]) || CASE WHEN c_custkey % 5 = 0 THEN ',' ELSE '' END END AS name FROM customer),
+s AS (SELECT *, string_split(name, ' ')[-1] AS surname FROM pe WHERE name <> 'J. R. R.'),
+g AS (SELECT * FROM s WHERE length(surname) > 2 AND regexp_matches(surname, '^[A-Z][^A-Z]+$') QUALIFY count(*) OVER (PARTITION BY surname) > 1),
+mem AS (SELECT *, CASE WHEN name IN ('Ann ' || surname, 'J. R. ' || surname) THEN 0 WHEN name = 'Bo ' || surname THEN 1 END AS grp FROM g WHERE surname <> 'Machinery'),
+grp AS (SELECT *, min(c_custkey) OVER (PARTITION BY surname, grp) AS first, count(*) OVER (PARTITION BY surname, grp) AS n FROM mem WHERE grp IS NOT NULL),
+vg AS (SELECT id, 'entity:person-' || first AS canonical, CASE grp WHEN 0 THEN 'Julia Ann ' || surname ELSE CASE WHEN length('Bo ' || surname) >= length('Nobody') THEN 'Bo ' || surname ELSE 'Nobody' END END AS canonical_name FROM grp WHERE n > 1),
+rm AS (SELECT id FROM g WHERE name = 'Bo McDonald' UNION SELECT id FROM pe WHERE name = 'J. R. R.'),
+pm AS (SELECT id, canonical FROM vg WHERE id <> canonical)"""
+
+
+def _people_merged(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    people = _people(spark, sf_dir)
+    groups, not_people = graph.people_verdicts(graph.people_groups(people), _people_replies(spark, sf_dir))
+    initials = people.filter(graph.noise.is_initials(F.col("name"))).select("id")
+    return graph.apply_groups(people, p.dirty(spark, sf_dir)[1], groups, not_people.union(initials))
+
+
+@query(f"""WITH {_PEOPLE_SQL} SELECT pe.id, coalesce(canonical_name, name) AS name FROM pe LEFT JOIN vg ON vg.id = pe.id AND vg.canonical = pe.id
+WHERE pe.id NOT IN (SELECT id FROM pm) AND pe.id NOT IN (SELECT id FROM rm)""")
+def merge_people_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _people_merged(spark, sf_dir)[0].select("id", "name")
+
+
+@query(f"""WITH {p.DIRTY_SQL.replace("s AS", "s_ AS")}, {_PEOPLE_SQL},
+mv AS (SELECT coalesce(a.canonical, subject) AS subject, predicate, coalesce(b.canonical, object) AS object FROM de LEFT JOIN pm a ON a.id = subject LEFT JOIN pm b ON b.id = object
+       WHERE subject NOT IN (SELECT id FROM rm) AND object NOT IN (SELECT id FROM rm))
+SELECT DISTINCT subject, predicate, object FROM mv WHERE subject <> object""")
+def merge_people_apply_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _people_merged(spark, sf_dir)[1].select("subject", "predicate", "object")
+
+
+# Replies about batches of organizations, whose names repeat: numbers of one last digit are the same.
+@query(f"""WITH {p.DIRTY_SQL}, ob AS (SELECT id, 'Org ' || key % 40 AS name, key, (row_number() OVER (ORDER BY key) - 1) // 60 AS batch FROM dn WHERE type = 'Organization'),
+ln AS (SELECT batch, name, max(key) AS key FROM ob GROUP BY ALL),
+m AS (SELECT ln.*, CASE name WHEN 'Org 7' THEN 0 WHEN 'Org 3' THEN 1 WHEN 'Org 5' THEN 2 END AS pl FROM ln WHERE name IN ('Org 7', 'Org 3', 'Org 5')),
+h AS (SELECT batch, arg_min(key, pl) AS first, count(*) AS n FROM m GROUP BY batch),
+vg AS (SELECT 'entity:organization-' || key AS id, 'entity:organization-' || first AS canonical FROM m JOIN h USING (batch) WHERE n > 1),
+rm AS (SELECT 'entity:organization-' || key AS id FROM ln WHERE name = 'Org 11')
+SELECT ob.id, CASE WHEN ob.id IN (SELECT canonical FROM vg) THEN 'Seven' ELSE name END AS name FROM ob WHERE id NOT IN (SELECT id FROM vg WHERE id <> canonical) AND id NOT IN (SELECT id FROM rm)""")
+def merge_orgs_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, edges = p.dirty(spark, sf_dir)
+    orgs = nodes.filter("type = 'Organization'").withColumn("name", F.concat(F.lit("Org "), F.col("ord.key") % 40))
+    batched = graph.batches(orgs.withColumn("all", F.lit(0)), [F.col("ord")], 60, ["all"]).drop("all")
+    reply = '{"not_orgs": ["Org 11", "Org 99"], "merge_groups": [["Org 7", "Org 3", "Org 5"], ["Org 8"], ["Org 9", "Org 99"]], "canonical": {"Org 7": "Seven"}}'
+    groups, removed = graph.org_verdicts(batched.select("batch", "id", "name", "ord"), batched.select("batch").distinct().withColumn("reply", F.lit(reply)))
+    return graph.apply_groups(orgs, edges, groups, removed)[0].select("id", "name")
+
+
 # Fragments: an order is a source; its title names one of its lines' brands, or nothing in it.
 def _fragment(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    rows = p.base(spark, sf_dir)
+    # Sources, entities, topics and relationships all come from these rows: they are joined once.
+    rows = scratch.materialise(p.base(spark, sf_dir), scratch.new_folder(spark, "fragments"), "rows")
     title = F.when(F.col("ok") % 3 == 0, F.concat(F.lit("Wikipedia: "), F.lower("work"))).when(F.col("ok") % 3 == 1, F.concat(F.lit("A note on "), "place", F.lit(" and others"))).otherwise(F.concat(F.lit("PEAR: 1995 - Report "), F.col("ok").cast("string")))
     sources = rows.groupBy("source").agg(F.min(F.struct(*p.KEYS, title.alias("title")))["title"].alias("title"))
     kinds = [("work", "WORK_OF_ART", "creativework"), ("place", "GPE", "place"), ("organization", "ORG", "organization")]
     items = [F.struct(F.concat(F.lit(f"entity:{prefix}-"), p.names.slug(F.col(c))).alias("id"), F.lit(label).alias("label"), F.col(c).alias("name"), F.lit(i).alias("pos")) for i, (c, label, prefix) in enumerate(kinds)]
     entities = rows.select("source", *p.KEYS, F.explode(F.array(*items)).alias("e")).groupBy("source", "e.id", "e.label", "e.name").agg(F.min(F.struct(*p.KEYS, "e.pos")).alias("ord"))
-    extracted = rows.filter("ok % 2 = 0").select("source", F.concat(F.lit("entity:organization-"), p.names.slug(F.col("organization"))).alias("subject"), F.lit("part_of").alias("predicate"), F.concat(F.lit("entity:creativework-"), p.names.slug(F.col("work"))).alias("object"), "confidence", "extracted_by")
+    # Orders of even numbers relate an organization with a work, those of odd numbers a place with itself.
+    even = F.col("ok") % 2 == 0
+    place = F.concat(F.lit("entity:place-"), p.names.slug(F.col("place")))
+    subject = F.when(even, F.concat(F.lit("entity:organization-"), p.names.slug(F.col("organization")))).otherwise(place)
+    object_ = F.when(even, F.concat(F.lit("entity:creativework-"), p.names.slug(F.col("work")))).otherwise(place)
+    extracted = rows.select("source", subject.alias("subject"), F.lit("part_of").alias("predicate"), object_.alias("object"), "confidence", "extracted_by")
     return sources, entities, extracted
 
 
 _FRAGMENT_SQL = f"""{p.BASE_SQL},
-fb AS (SELECT * FROM base),
-src AS (SELECT source, CASE ok % 3 WHEN 0 THEN 'Wikipedia: ' || lower(work) WHEN 1 THEN 'A note on ' || place || ' and others' ELSE 'PEAR: 1995 - Report ' || ok END AS title
-        FROM fb QUALIFY row_number() OVER (PARTITION BY source ORDER BY ok, ln, pk, sk, ep) = 1),
-ent0 AS (SELECT source, 'entity:creativework-' || {p.slug_sql("work")} AS id, 'CreativeWork' AS type, work AS name, ok, ln, pk, sk, ep, 0 AS pos FROM fb
-  UNION ALL SELECT source, 'entity:place-' || {p.slug_sql("place")}, 'Place', place, ok, ln, pk, sk, ep, 1 FROM fb
-  UNION ALL SELECT source, 'entity:organization-' || {p.slug_sql("organization")}, 'Organization', organization, ok, ln, pk, sk, ep, 2 FROM fb),
-ent AS (SELECT * FROM ent0 QUALIFY row_number() OVER (PARTITION BY source, id, type, name ORDER BY ok, ln, pk, sk, ep, pos) = 1),
-ext AS (SELECT source, 'entity:organization-' || {p.slug_sql("organization")} AS subject, 'woo:partOf' AS predicate, 'entity:creativework-' || {p.slug_sql("work")} AS object, confidence, extracted_by FROM fb WHERE ok % 2 = 0),
+fb AS MATERIALIZED (SELECT *, 'entity:creativework-' || {p.slug_sql("work")} AS work_id, 'entity:place-' || {p.slug_sql("place")} AS place_id, 'entity:organization-' || {p.slug_sql("organization")} AS organization_id FROM base),
+src AS MATERIALIZED (SELECT source, arg_min(CASE ok % 3 WHEN 0 THEN 'Wikipedia: ' || lower(work) WHEN 1 THEN 'A note on ' || place || ' and others' ELSE 'PEAR: 1995 - Report ' || ok END, (ok, ln, pk, sk, ep)) AS title
+        FROM fb GROUP BY source),
+ent AS MATERIALIZED (SELECT source, id, type, name, min(o) AS o FROM (
+  SELECT source, work_id AS id, 'CreativeWork' AS type, work AS name, (ok, ln, pk, sk, ep, 0) AS o FROM fb
+  UNION ALL SELECT source, place_id, 'Place', place, (ok, ln, pk, sk, ep, 1) FROM fb
+  UNION ALL SELECT source, organization_id, 'Organization', organization, (ok, ln, pk, sk, ep, 2) FROM fb) GROUP BY source, id, type, name),
+ext AS MATERIALIZED (SELECT source, CASE WHEN ok % 2 = 0 THEN organization_id ELSE place_id END AS subject, 'woo:partOf' AS predicate, CASE WHEN ok % 2 = 0 THEN work_id ELSE place_id END AS object, confidence, extracted_by FROM fb),
 w AS (SELECT source, title, lower(trim(regexp_replace(title, '^Wikipedia:', ''))) AS wanted FROM src),
-hit AS (SELECT ent.source, id, name FROM ent JOIN w USING (source) WHERE contains(wanted, lower(name)) OR contains(lower(name), wanted)
-        QUALIFY row_number() OVER (PARTITION BY ent.source ORDER BY lower(name) <> wanted, CASE WHEN lower(name) <> wanted THEN -length(name) END, ok, ln, pk, sk, ep, pos, id, name) = 1),
-made AS (SELECT source, trim(regexp_replace(trim(regexp_replace(title, '^(PEAR|Wikipedia):', '')), '^[0-9]{{4}}[-\\s]+', '')) AS topic FROM src WHERE source NOT IN (SELECT source FROM hit)),
-topic AS (SELECT source, id, name, false AS synthetic FROM hit UNION ALL SELECT source, 'entity:event-' || {p.slug_sql("topic")}, topic, true FROM made)"""
+hit AS MATERIALIZED (SELECT ent.source AS source, arg_min({{'id': id, 'name': name}}, (lower(name) <> wanted, CASE WHEN lower(name) <> wanted THEN -length(name) ELSE 0 END, o, id, name)) AS best FROM ent JOIN w ON w.source = ent.source
+        WHERE contains(wanted, lower(name)) OR contains(lower(name), wanted) GROUP BY ent.source),
+made AS (SELECT src.source AS source, trim(regexp_replace(trim(regexp_replace(title, '^(PEAR|Wikipedia):', '')), '^[0-9]{{4}}[-\\s]+', '')) AS topic FROM src ANTI JOIN hit ON hit.source = src.source),
+topic AS MATERIALIZED (SELECT source, best.id AS id, best.name AS name, false AS synthetic FROM hit UNION ALL SELECT source, 'entity:event-' || {p.slug_sql("topic")}, topic, true FROM made),
+linked AS (SELECT source, subject AS id FROM ext UNION SELECT source, object FROM ext)"""
 
 
 @query(f"WITH {_FRAGMENT_SQL} SELECT * FROM topic")
@@ -223,8 +290,7 @@ def fragment_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT source, id AS subject, 'woo:mentionedIn' AS predicate, source AS object, 1.0::DOUBLE AS confidence, 'pipeline' AS extracted_by FROM ent
 UNION ALL SELECT source, id, 'woo:mentionedIn', source, 1.0, 'pipeline' FROM topic WHERE synthetic
 UNION ALL SELECT source, subject, predicate, object, confidence, extracted_by FROM ext
-UNION ALL SELECT ent.source, ent.id, 'woo:relatedTo', topic.id, 0.3, 'pipeline' FROM ent JOIN topic ON topic.source = ent.source AND topic.id <> ent.id
-  WHERE NOT EXISTS (SELECT 1 FROM ext WHERE ext.source = ent.source AND ent.id IN (ext.subject, ext.object))""")
+UNION ALL SELECT ent.source, ent.id, 'woo:relatedTo', topic.id, 0.3, 'pipeline' FROM ent ANTI JOIN linked ON linked.source = ent.source AND linked.id = ent.id JOIN topic ON topic.source = ent.source AND topic.id <> ent.id""")
 def fragment_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources, entities, extracted = _fragment(spark, sf_dir)
     return graph.fragment_edges(entities, extracted, graph.topics(sources, entities))

@@ -284,6 +284,25 @@ DETECTIONS_SQL = """det AS (
         QUALIFY row_number() OVER (PARTITION BY user_id, epoch_us(ts) // 3600000000 ORDER BY event_id) = 1))"""
 
 
+def crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as boxes once more, several a frame: a frame is four days of a user."""
+    e = F.col("event_id")
+    own = table(spark, sf_dir, "events").select("user_id", e, F.floor(F.unix_date(F.to_date("ts")) / 4).alias("frame"))
+    return own.select(
+        F.concat(F.lit("v"), "user_id").alias("video"),
+        "frame",
+        (e * 37 % 211).cast("double").alias("x"),
+        (e * 53 % 127).cast("double").alias("y"),
+        (6 + e % 25).cast("double").alias("w"),
+        (7 + e % 19).cast("double").alias("h"),
+        (F.lit(0.25) + e % 3 / 4).alias("fill_ratio"),
+    )
+
+
+CROWDED_SQL = """cr AS (SELECT 'v' || user_id AS video, CAST(floor(epoch_us(ts) / 86400000000 / 4) AS BIGINT) AS frame, CAST(event_id * 37 % 211 AS DOUBLE) AS x, CAST(event_id * 53 % 127 AS DOUBLE) AS y,
+  CAST(6 + event_id % 25 AS DOUBLE) AS w, CAST(7 + event_id % 19 AS DOUBLE) AS h, 0.25 + event_id % 3 / 4 AS fill_ratio FROM events)"""
+
+
 # --- registry --------------------------------------------------------------------------
 
 

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgraph.functions import markup, names, noise
-from docgraph.operators import resolve
+from docgraph.operators import graph, process, resolve
 from docgraph.plans import projections as p
 from docgraph.plans.registering import Query, filing
-from docgraph.sources import manifests
+from docgraph.sources import manifests, publish
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -28,7 +30,14 @@ def slug_ascii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", names.slug(F.col("text")).alias("slug"))
 
 
-@query()
+# Letters of the Latin blocks by their decompositions, whose marks are separators like all else.
+_NFKD_SQL = "text"
+for _c in map(chr, range(0xA0, 0x180)):
+    if (_apart := unicodedata.normalize("NFKD", _c)) != _c:
+        _NFKD_SQL = f"replace({_NFKD_SQL}, '{_c}', '{_apart}')"
+
+
+@query(f"SELECT doc_id, {p.slug_sql(_NFKD_SQL)} AS slug FROM documents")
 def slug_nfkd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", names.slug_nfkd(F.col("text")).alias("slug"))
 
@@ -140,13 +149,13 @@ def mention_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _names(spark, sf_dir).filter(noise.is_entity_mention(name, label)).select("p_partkey", noise.mention_name(name, label).alias("name"), "label")
 
 
-@query(f"""WITH {_NAMES_SQL}, o AS (SELECT nm.name, label, p_partkey AS start FROM nm)
-SELECT name, label, count(*) AS mention_count, min(start) AS first_start, md5(string_agg(start::TEXT, ',' ORDER BY start)) AS spans FROM o GROUP BY name, label""")
+@query(f"""WITH {_NAMES_SQL}, o AS (SELECT name, label, p_partkey AS start, row_number() OVER (PARTITION BY name, label ORDER BY p_partkey) - 1 AS n FROM nm)
+SELECT name, label, CAST(n // 100 AS BIGINT) AS part, count(*) AS mention_count, min(start) AS first_start, md5(string_agg(start::TEXT, ',' ORDER BY start)) AS spans FROM o GROUP BY name, label, part""")
 def mention_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mentions of a name under a label, with their places in order (as a digest)."""
-    rows = _names(spark, sf_dir)
+    """Mentions of a name under a label, with their places in order (as a digest), in parts of a hundred."""
+    rows = graph.batches(_names(spark, sf_dir), [F.col("p_partkey")], 100, ["name", "label"])
     spans = F.array_sort(F.collect_list("p_partkey"))
-    return rows.groupBy("name", "label").agg(F.count("*").alias("mention_count"), F.min("p_partkey").alias("first_start"), F.md5(F.array_join(spans.cast("array<string>"), ",")).alias("spans"))
+    return rows.groupBy("name", "label", F.col("batch").alias("part")).agg(F.count("*").alias("mention_count"), F.min("p_partkey").alias("first_start"), F.md5(F.array_join(spans.cast("array<string>"), ",")).alias("spans"))
 
 
 @query(f"""WITH {_NAMES_SQL} SELECT p_partkey, name, length(name) >= 3 AND lower(name) NOT IN ({", ".join(f"'{w}'" for w in noise.NON_PLACES)})
@@ -174,32 +183,34 @@ def strip_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
 _BLANK_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
-@query(f"""WITH s AS (SELECT doc_id, text, least(length(text) // 2, 500) AS a FROM documents), t AS (SELECT *, greatest(0, a - 100) AS low, least(length(text), a + 10 + 100) AS high FROM s)
+@query(f"""WITH s AS (SELECT doc_id, text, length(text) // 2 AS a FROM documents), t AS (SELECT *, greatest(0, a - 100) AS low, least(length(text), a + 10 + 100) AS high FROM s)
 SELECT doc_id, CASE WHEN low > 0 THEN '...' ELSE '' END || trim(substr(text, low + 1, high - low), {_BLANK_SQL}) || CASE WHEN high < length(text) THEN '...' ELSE '' END AS snippet FROM t""")
 def context_snippet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = F.least(F.floor(F.length("text") / 2), F.lit(500)).cast("int")
+    start = F.floor(F.length("text") / 2).cast("int")
     return _documents(spark, sf_dir).select("doc_id", markup.context_snippet(F.col("text"), start, start + 10).alias("snippet"))
 
 
-@query("""WITH RECURSIVE c(doc_id, text, pos, start, stop) AS (
+_CHUNKS_SQL = """c(doc_id, text, pos, start, stop) AS (
   SELECT doc_id, text, -1, 0, 0 FROM documents
   UNION ALL
   SELECT doc_id, text, pos + 1, stop, CASE WHEN length(text) - stop <= 2000 THEN length(text) WHEN dot > 1000 THEN stop + dot + 1 ELSE stop + 2000 END FROM (
-    SELECT *, 2000 - instr(reverse(substr(text, stop + 1, 2000)), '.') + CASE WHEN contains(substr(text, stop + 1, 2000), '.') THEN 0 ELSE -9999 END AS dot FROM c WHERE stop < length(text) OR pos = -1) WHERE pos = -1 OR stop < length(text))
-SELECT doc_id, pos, substr(text, start + 1, stop - start) AS chunk FROM c WHERE pos >= 0""")
+    SELECT *, 2000 - instr(reverse(substr(text, stop + 1, 2000)), '.') + CASE WHEN contains(substr(text, stop + 1, 2000), '.') THEN 0 ELSE -9999 END AS dot FROM c WHERE stop < length(text) OR pos = -1) WHERE pos = -1 OR stop < length(text))"""
+
+
+@query(f"WITH RECURSIVE {_CHUNKS_SQL} SELECT doc_id, pos, substr(text, start + 1, stop - start) AS chunk FROM c WHERE pos >= 0")
 def chunk_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", F.posexplode(markup.chunks(F.col("text"))).alias("pos", "chunk")).withColumn("pos", F.col("pos").cast("int"))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_CHUNKS_SQL}, ch AS (SELECT doc_id, pos, lower(substr(text, start + 1, stop - start)) AS chunk FROM c WHERE pos >= 0),
+en AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[A-Z][a-z]{{4,}}'))) AS name FROM documents)
+SELECT ch.doc_id, pos, count(*) AS entities FROM ch JOIN en ON en.doc_id = ch.doc_id AND contains(chunk, lower(name)) GROUP BY ch.doc_id, pos HAVING count(*) >= 2""")
 def chunk_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Chunks that contain two or more of their document's entities (its capitalised words of some length)."""
-    found = F.array_distinct(F.regexp_extract_all("text", F.lit(r"\b[A-Z][a-z]{11,}\b"), F.lit(0)))
-    d = _documents(spark, sf_dir)
-    chunks = d.select("doc_id", F.posexplode(markup.chunks(F.col("text"))).alias("pos", "chunk"))
-    entities = d.select("doc_id", F.explode(found).alias("name"))
-    pairs = chunks.join(entities, "doc_id").filter(F.contains(F.lower("chunk"), F.lower("name")))
-    return pairs.groupBy("doc_id", "pos").agg(F.count("*").alias("entities")).filter("entities >= 2")
+    """Chunks that contain two or more of their document's entities (its capitalised words)."""
+    d = _documents(spark, sf_dir).select(F.col("doc_id").alias("source"), "text")
+    entities = d.select("source", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Z][a-z]{4,}"), F.lit(0)))).alias("name"))
+    found = process.chunks_with_entities(d, entities)
+    return found.select(F.col("source").alias("doc_id"), F.col("pos").cast("int").alias("pos"), F.size("names").cast("long").alias("entities"))
 
 
 # --- replies -----------------------------------------------------------------------
@@ -246,16 +257,32 @@ def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("page_id", F.col("url").alias("base"), F.posexplode(markup.page_links(F.col("html"), F.col("url"))).alias("pos", "link")).select("page_id", "base", "pos", "link.url", "link.title")
 
 
-@query()
+# The pages write their links in one form, with paths from the root or whole addresses.
+@query(f"""WITH a AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+:') AS scheme,
+  unnest(regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a>', 1)) AS href, unnest(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1)) AS text, generate_subscripts(regexp_extract_all(html, '<a href="([^"]*)">[^<]*</a>'), 1) AS i FROM pages),
+b AS (SELECT page_id, url, host, i, text, regexp_replace(CASE WHEN regexp_matches(href, '^[a-z]+:') THEN href WHEN href[:2] = '//' THEN scheme || href ELSE scheme || '//' || host || href END, '#.*$', '') AS link FROM a WHERE href <> ''),
+f AS (SELECT page_id, host, link, min(i) AS i, arg_min(trim(text), i) AS text FROM b WHERE link <> url GROUP BY page_id, host, link),
+n AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos FROM f)
+SELECT page_id, CAST(pos AS INT) AS pos, link AS url, CASE WHEN text = '' THEN link ELSE text END AS title FROM n
+WHERE regexp_extract(link, '^([a-z]+)://', 1) IN ('http', 'https') AND regexp_extract(link, '^[a-z]+://([^/?#]*)', 1) = host
+  AND NOT ({" OR ".join(f"contains(lower(regexp_extract(link, '^[a-z]+://[^/?#]*([^?#]*)', 1)), '{x}')" for x in markup.SKIPPED_PATHS)})""")
 def discover_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of each page to pages with content on its host."""
     host = F.try_parse_url("base", F.lit("AUTHORITY"))
-    return _links(spark, sf_dir).filter(markup.is_content_url(F.col("url"), host)).select("page_id", "pos", "url", "title")
+    return _links(spark, sf_dir).filter(markup.is_content_url(F.col("url"), host)).select("page_id", F.col("pos").cast("int").alias("pos"), "url", "title")
+
 
+_ORIGIN_SQL = "regexp_extract(url, '^[a-z]+://[^/?#]*')"
 
-@query()
+
+@query(f"""SELECT page_id, CASE page_id % 5 WHEN 0 THEN {_ORIGIN_SQL} || '/p/2' WHEN 1 THEN regexp_extract(url, '^[^?#]*') || '?page=2' WHEN 2 THEN {_ORIGIN_SQL} || '/more'
+  WHEN 3 THEN 'https://elsewhere.example/' || page_id END AS next FROM pages""")
 def next_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p.table(spark, sf_dir, "pages").select("page_id", markup.next_page(F.col("html"), F.col("url")).alias("next"))
+    """Pages with four kinds of links to a next page added, and with none."""
+    k = F.col("page_id") % 5
+    added = F.when(k == 0, '<link rel="next" href="/p/2">').when(k == 1, '<a rel="prev next" href="?page=2">on</a>').when(k == 2, '<a href="/more"> Next </a>')
+    added = added.when(k == 3, F.concat(F.lit('<a href="https://elsewhere.example/'), "page_id", F.lit('">»</a>'))).otherwise("")
+    return p.table(spark, sf_dir, "pages").select("page_id", markup.next_page(F.concat("html", added), F.col("url")).alias("next"))
 
 
 _URL_SQL = "u AS (SELECT page_id, regexp_extract(url, '^([a-z]+)://', 1) AS scheme, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, lower(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)) AS path FROM pages)"
@@ -309,10 +336,10 @@ def new_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifests.pending(subs, subs.filter("page_id % 3 = 0")).select("slug")
 
 
-@query("SELECT 's-' || page_id AS slug, CASE WHEN page_id % 2 = 0 THEN 'first' ELSE 'second' END AS root FROM pages WHERE page_id % 2 = 0 OR page_id % 3 = 0")
+@query("SELECT 's-' || page_id AS slug, CASE WHEN page_id % 2 = 0 THEN 'first' ELSE 'second' END AS root FROM pages")
 def metadata_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
     subs = _submissions(spark, sf_dir)
-    return manifests.metadata_with_precedence(subs.filter("page_id % 2 = 0").select("slug", F.lit("first").alias("root")), subs.filter("page_id % 3 = 0").select("slug", F.lit("second").alias("root")))
+    return manifests.metadata_with_precedence(subs.filter("page_id % 2 = 0").select("slug", F.lit("first").alias("root")), subs.select("slug", F.lit("second").alias("root")))
 
 
 @query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN length(text) END AS value FROM conversations")
@@ -328,3 +355,55 @@ def geocache_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = F.col("event_id") % 5
     entry = F.when(e == 1, "null").when(e == 2, F.col("props")).when(e == 3, "[1]").when(e == 4, "{broken")
     return p.table(spark, sf_dir, "events").select("event_id", manifests.lookup_state(entry).alias("state"))
+
+
+# --- media, serving, publishing ---------------------------------------------------------
+
+
+@query("""WITH f AS (SELECT p_partkey // 10 AS slug, p_partkey % 2 AS root, CASE WHEN p_partkey % 9 = 0 THEN 'best_frame.png' WHEN p_partkey % 4 = 0 THEN 'z' || p_partkey || '.mp4' ELSE 'f' || p_partkey || '.png' END AS name FROM part)
+SELECT slug, arg_min(name, (root, name <> 'best_frame.png', name)) AS thumbnail FROM f WHERE name LIKE '%.png' GROUP BY slug""")
+def thumbnails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    name = F.when(k % 9 == 0, "best_frame.png").when(k % 4 == 0, F.concat(F.lit("z"), k, F.lit(".mp4"))).otherwise(F.concat(F.lit("f"), k, F.lit(".png")))
+    return publish.thumbnails(p.table(spark, sf_dir, "part").select(F.floor(k / 10).alias("slug"), (k % 2).alias("root"), name.alias("name")))
+
+
+@query("""WITH f AS (SELECT p_partkey AS slug, unnest(['debug_detections', 'track2_debug_detections', 'track' || p_size || '_stack', 'stack']) AS key FROM part)
+SELECT slug, CASE WHEN key = 'debug_detections' THEN 0 WHEN key LIKE 'track%' THEN regexp_extract(key, '^track([0-9]+)_', 1)::INT ELSE 1 END AS object, regexp_replace(key, '^track[0-9]+_', '') AS base, key, key || '.png' AS filename FROM f""")
+def output_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = F.array(F.lit("debug_detections"), F.lit("track2_debug_detections"), F.concat(F.lit("track"), "p_size", F.lit("_stack")), F.lit("stack"))
+    outputs = F.map_from_entries(F.transform(keys, lambda k: F.struct(k, F.concat(k, F.lit(".png")))))
+    return publish.output_files(p.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("slug"), outputs.alias("outputs")))
+
+
+@query("""SELECT page_id, CASE WHEN page_id % 11 = 0 THEN 400 WHEN strlen(html) > 2000 THEN 413 ELSE 200 END AS upload, CASE WHEN page_id % 3 = 0 OR page_id % 4 = 0 THEN 400 ELSE 200 END AS submit FROM pages""")
+def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id")
+    size = F.when(k % 11 > 0, F.octet_length("html"))
+    submit = publish.submit_status(F.when(k % 3 > 0, "T").otherwise(""), F.when(k % 4 > 0, "url"))
+    return p.table(spark, sf_dir, "pages").select("page_id", publish.upload_status(size, 2000).alias("upload"), submit.alias("submit"))
+
+
+@query("""WITH r AS (SELECT page_id, encode(html) AS b, strlen(html) AS n, page_id % 5 * 700 AS a, CASE WHEN page_id % 2 = 0 THEN page_id % 5 * 700 + 99 END AS z FROM pages),
+e AS (SELECT *, least(coalesce(z, n - 1), n - 1) AS last FROM r)
+SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 200 ELSE 206 END AS status, CASE WHEN page_id % 7 = 0 THEN n ELSE greatest(last - a + 1, 0) END AS n_bytes,
+  CASE WHEN page_id % 7 > 0 THEN 'bytes ' || a || '-' || last || '/' || n END AS content_range FROM e""")
+def byte_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id")
+    begin = k % 5 * 700
+    header = F.when(k % 7 == 0, F.lit(None)).otherwise(F.concat(F.lit("bytes="), begin, F.lit("-"), F.when(k % 2 == 0, (begin + 99).cast("string")).otherwise("")))
+    found = p.table(spark, sf_dir, "pages").select("page_id", publish.byte_range(F.encode("html", "utf-8"), header).alias("r"))
+    return found.select("page_id", "r.status", F.octet_length("r.body").cast("long").alias("n_bytes"), "r.content_range")
+
+
+@query("""SELECT c_custkey, 'entity__place_' || c_custkey || '__' || c_mktsegment || '.json' AS file FROM customer""")
+def cache_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p.table(spark, sf_dir, "customer").select("c_custkey", names.cache_file(F.concat(F.lit("entity:/place_"), "c_custkey", F.lit("/:"), "c_mktsegment")).alias("file"))
+
+
+@query("""SELECT 's-' || page_id AS slug, '{"source_slug":"s-' || page_id || '","title":"T' || page_id || '","type":"' || ['pdf', 'url', 'account', 'video', 'index'][page_id % 5 + 1] || '","author":"' || CASE WHEN page_id % 2 = 0 THEN 'A' ELSE '' END ||
+  '","date_added":"2024-01-01","tags":[],"description":"","content_file":"content.md","processed_at":"now"}' AS json FROM pages""")
+def source_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("page_id")
+    own = _submissions(spark, sf_dir).select("slug", F.concat(F.lit("T"), k).alias("title"), "source.type", F.when(k % 2 == 0, "A").alias("author"), "source.date_added", F.lit(None).cast("array<string>").alias("tags"), F.lit(None).cast("string").alias("description"))
+    return publish.source_metadata(own, "now")

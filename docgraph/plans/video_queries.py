@@ -42,14 +42,18 @@ def candidate_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every detection as a frame, its value the number by which scenes differ."""
+    """Every detection as a frame, with a histogram of four bins and its distance to the one before."""
     own = p.detections(spark, sf_dir)
     w = Window.partitionBy("video").orderBy("frame")
-    return own.select("video", (F.row_number().over(w) - 1).cast("long").alias("idx"), (F.abs(F.col("x") - F.lag("x").over(w)) / 500).alias("distance"))
+    bins = F.array(F.col("x") % 50 + 1, F.col("y") % 30 + 1, "w", "h")
+    frames = own.select("video", (F.row_number().over(w) - 1).cast("long").alias("idx"), bins.alias("bins"), F.lag(bins).over(w).alias("before"))
+    return frames.select("video", "idx", d.bhattacharyya(F.col("bins"), F.col("before")).alias("distance"))
 
 
-_SCENES_SQL = f"""{p.DETECTIONS_SQL}, fr AS (SELECT video, row_number() OVER o - 1 AS idx, abs(x - lag(x) OVER o) / 500 AS distance FROM det WINDOW o AS (PARTITION BY video ORDER BY frame)),
-rw AS (SELECT *, sum((idx > 0 AND coalesce(distance > 0.1, false))::INT) OVER (PARTITION BY video ORDER BY idx) AS raw FROM fr),
+_SCENES_SQL = f"""{p.DETECTIONS_SQL}, hs AS (SELECT video, frame, x % 50 + 1 AS a, y % 30 + 1 AS b, w AS c, h AS d FROM det),
+pr AS (SELECT video, row_number() OVER o - 1 AS idx, a, b, c, d, lag(a) OVER o AS pa, lag(b) OVER o AS pb, lag(c) OVER o AS pc, lag(d) OVER o AS pd FROM hs WINDOW o AS (PARTITION BY video ORDER BY frame)),
+fr AS (SELECT video, idx, sqrt(greatest(0, 1 - (sqrt(a * pa) + sqrt(b * pb) + sqrt(c * pc) + sqrt(d * pd)) / sqrt((a + b + c + d) * (pa + pb + pc + pd)))) AS distance FROM pr),
+rw AS (SELECT *, sum((idx > 0 AND coalesce(distance > 0.25, false))::INT) OVER (PARTITION BY video ORDER BY idx) AS raw FROM fr),
 rs AS (SELECT video, raw, min(idx) AS start, max(idx) AS last, count(*) AS n FROM rw GROUP BY ALL),
 sc AS (SELECT *, sum((n >= 4 OR raw = 0)::INT) OVER (PARTITION BY video ORDER BY raw) AS scene FROM rs),
 scn AS (SELECT video, CAST(scene AS BIGINT) AS scene, min(start) AS start, max(last) + 1 AS "end", CAST(sum(n) AS BIGINT) AS n FROM sc GROUP BY ALL)"""
@@ -57,7 +61,7 @@ scn AS (SELECT video, CAST(scene AS BIGINT) AS scene, min(start) AS start, max(l
 
 @query(f"WITH {_SCENES_SQL} SELECT * FROM scn")
 def scene_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.scenes(_frames(spark, sf_dir), F.col("distance"), 0.1, 4)
+    return d.scenes(_frames(spark, sf_dir), F.col("distance"), 0.25, 4)
 
 
 @query(f"""WITH {_SCENES_SQL}, cl AS (SELECT *, CASE WHEN scene % 3 = 0 THEN 'credits' ELSE 'footage' END AS c FROM scn),
@@ -65,7 +69,7 @@ be AS (SELECT video, start, "end" FROM cl WHERE c = 'footage' QUALIFY row_number
 SELECT t.video, coalesce(start, 0) AS start, coalesce("end", total) AS "end" FROM (SELECT video, count(*) AS total FROM fr GROUP BY video) t LEFT JOIN be USING (video)""")
 def footage_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     frames = _frames(spark, sf_dir)
-    found = d.scenes(frames, F.col("distance"), 0.1, 4)
+    found = d.scenes(frames, F.col("distance"), 0.25, 4)
     verdicts = found.select("video", "scene", F.when(F.col("scene") % 3 == 0, "credits").otherwise("unheard of").alias("verdict"))
     return d.footage_range(d.classify(found, verdicts), frames.groupBy("video").agg(F.count("*").alias("total")))
 
@@ -81,20 +85,61 @@ def sharpness_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.sharpness_weights(frames).select("track", "frame", F.round("weight", 9).alias("weight"))
 
 
+@query(f"""WITH {p.CROWDED_SQL} SELECT video, frame, x, y FROM (SELECT *, row_number() OVER (PARTITION BY video, frame ORDER BY w * h * fill_ratio DESC, x, y, w, h) AS rank FROM cr) WHERE rank <= 3""")
+def strongest_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return d.strongest(p.crowded(spark, sf_dir), 3).select("video", "frame", "x", "y")
+
+
+@query(f"WITH {p.CROWDED_SQL} SELECT video, frame, x, y FROM cr WHERE w * h >= 100 AND w * h <= 500 * 300 * 0.05 AND x >= 2 AND y >= 2 AND x + w <= 498 AND y + h <= 298 AND x + w / 2 >= 20 AND x + w / 2 < 120 AND y + h / 2 >= 10 AND y + h / 2 < 90")
+def region_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p.crowded(spark, sf_dir).filter(d.candidate_gate(500, 300, 100, region=(20, 10, 100, 80))).select("video", "frame", "x", "y")
+
+
+@query("""SELECT user_id AS track, event_id AS frame, value - min(value) OVER w AS dx, event_id % 50 - min(event_id % 50) OVER w AS dy FROM events WINDOW w AS (PARTITION BY user_id)""")
+def crop_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = p.table(spark, sf_dir, "events")
+    return d.crop_offsets(e.select(F.col("user_id").alias("track"), F.col("event_id").alias("frame"), F.col("value").alias("x"), (F.col("event_id") % 50).alias("y"))).drop("x", "y")
+
+
+_ALIGNED_SQL = """al AS (SELECT user_id AS track, event_id AS frame, event_id * 7919 % 1000 / 1000 AS ncc FROM events),
+pl AS (SELECT *, row_number() OVER (PARTITION BY track ORDER BY frame) AS place, row_number() OVER (PARTITION BY track ORDER BY ncc DESC, frame) AS rank, count(*) OVER (PARTITION BY track) AS n FROM al)"""
+
+
+def _aligned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    e = p.table(spark, sf_dir, "events")
+    return d.best_aligned(e.select(F.col("user_id").alias("track"), F.col("event_id").alias("frame"), (F.col("event_id") * 7919 % 1000 / 1000).alias("ncc")))
+
+
+@query(f"WITH {_ALIGNED_SQL} SELECT track, frame, ncc FROM pl WHERE rank <= 15")
+def similar_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _aligned(spark, sf_dir)[0]
+
+
+@query(f"""WITH {_ALIGNED_SQL}, b AS (SELECT track, greatest(1, least(place - 2, n - 4)) AS low FROM pl WHERE rank = 1)
+SELECT track, frame, ncc FROM pl JOIN b USING (track) WHERE place BETWEEN low AND low + 4""")
+def frames_around_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _aligned(spark, sf_dir)[1]
+
+
+# What follows is sequential; tests compare it with searches without any order of their own.
 @query()
 def merge_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes of four hours taken as one frame, joined within 30 pixels."""
-    own = p.detections(spark, sf_dir).withColumn("frame", F.floor(F.col("frame") / 4))
-    return d.merge_candidates(own, 30.0)
+    """Boxes of crowded frames, joined within 30 pixels."""
+    return d.merge_candidates(p.crowded(spark, sf_dir), 30.0)
+
+
+@query()
+def frame_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return d.frame_candidates(p.crowded(spark, sf_dir), 20.0, 1500.0, before=6, after=3)
 
 
 @query()
 def link_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.link_tracks(p.detections(spark, sf_dir), 60.0)
+    return d.link_tracks(p.crowded(spark, sf_dir), 60.0)
 
 
 @query()
 def select_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tracked = d.link_tracks(p.detections(spark, sf_dir), 60.0)
-    frames = p.detections(spark, sf_dir).groupBy("video").agg(F.count("*").alias("n_frames"))
-    return d.select_tracks(tracked, frames, 20.0, min_length=3, min_overlap=2)
+    boxes = p.crowded(spark, sf_dir)
+    frames = boxes.groupBy("video").agg(F.countDistinct("frame").alias("n_frames"))
+    return d.select_tracks(d.link_tracks(boxes, 60.0), frames, 20.0, min_length=3, min_overlap=2)

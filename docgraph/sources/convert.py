@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
@@ -11,8 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docgraph.sources.manifests import is_digital
-
 # Elements whose text isn't content, those that end a line, and marks of headings.
 _SILENT = {"script", "style", "head", "nav", "footer", "aside", "form", "noscript", "template"}
 _BLOCKS = {"p", "div", "section", "article", "br", "li", "tr", "table", "ul", "ol", "blockquote", "pre", "main", "h1", "h2", "h3", "h4", "h5", "h6"}
@@ -87,6 +86,72 @@ def pdf_documents(files: DataFrame, digital: Callable[[bytes], tuple[str, int]],
     return files.select("path", "content").mapInPandas(run, "path string, text string, backend string")
 
 
+def gps_of(data: bytes | None) -> tuple[float, float] | None:
+    """Latitude and longitude in the EXIF part of a JPEG file, None where it has none or is damaged.
+
+    Segments are walked up to the APP1 segment with an EXIF header; of the first directory the
+    GPS pointer leads to the directory whose rationals are degrees, minutes and seconds.
+    """
+    if not data or data[:2] != b"\xff\xd8":
+        return None
+    at = 2
+    try:
+        while data[at] == 0xFF and data[at + 1] not in (0xDA, 0xD9):
+            (length,) = struct.unpack_from(">H", data, at + 2)
+            if data[at + 1] == 0xE1 and data[at + 4 : at + 10] == b"Exif\0\0":
+                return _gps_of_tiff(data[at + 10 : at + 2 + length])
+            at += 2 + length
+    except (struct.error, IndexError):
+        pass
+    return None
+
+
+def _gps_of_tiff(tiff: bytes) -> tuple[float, float] | None:
+    order = {b"II": "<", b"MM": ">"}.get(tiff[:2])
+    if order is None:
+        return None
+
+    def directory(at: int) -> dict[int, tuple[int, int]]:
+        """Each tag with the place of its value field and what that holds as a number."""
+        (n,) = struct.unpack_from(f"{order}H", tiff, at)
+        places = [at + 2 + 12 * i for i in range(n)]
+        return {struct.unpack_from(f"{order}H", tiff, p)[0]: (p + 8, struct.unpack_from(f"{order}I", tiff, p + 8)[0]) for p in places}
+
+    (first,) = struct.unpack_from(f"{order}I", tiff, 4)
+    pointer = directory(first).get(0x8825)
+    if pointer is None:
+        return None
+    gps = directory(pointer[1])
+    if 2 not in gps or 4 not in gps:
+        return None
+
+    def degrees(ref: int, tag: int, negative: bytes) -> float:
+        parts = struct.unpack_from(f"{order}6I", tiff, gps[tag][1])
+        value = sum((parts[2 * i] / parts[2 * i + 1] if parts[2 * i + 1] else 0.0) / 60**i for i in range(3))
+        place = gps[ref][0] if ref in gps else None
+        return -value if place is not None and tiff[place : place + 1] == negative else value
+
+    return degrees(1, 2, b"S"), degrees(3, 4, b"W")
+
+
+@F.pandas_udf(T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lng", T.DoubleType())]))
+def image_gps(content: pd.Series) -> pd.DataFrame:
+    """lat, lng of image files; null where a file has none."""
+    found = [gps_of(bytes(c)) if c is not None else None for c in content]
+    return pd.DataFrame({"lat": [f[0] if f else None for f in found], "lng": [f[1] if f else None for f in found]}, dtype=float)
+
+
+def with_archive(pages: DataFrame, archived: DataFrame, least: int = 1) -> DataFrame:
+    """pages (url, html) where fetching failed or gave under ``least`` characters of text, from an archive (url, html, taken); the newest copy.
+
+    ``archived`` says whether the html came from there.
+    """
+    newest = archived.filter("html is not null").groupBy("url").agg(F.max(F.struct("taken", "html"))["html"].alias("copy"))
+    joined = pages.join(newest, "url", "left")
+    lacking = (F.col("html").isNull() | (F.length(page_text(F.col("html"))) < least)) & F.col("copy").isNotNull()
+    return joined.select("url", F.when(lacking, F.col("copy")).otherwise(F.col("html")).alias("html"), lacking.alias("archived"))
+
+
 def is_youtube(url: Column) -> Column:
     return F.coalesce(url.rlike(_YOUTUBE), F.lit(False))
 
@@ -96,5 +161,3 @@ def sampled_frames(frames: DataFrame, step: int = 1, most: int = 0) -> DataFrame
     kept = frames.filter(F.col("frame") % step == 0)
     return kept.filter(F.col("frame") < step * most) if most else kept
 
-
-__all__ = ["account_documents", "is_digital", "is_youtube", "main_text", "page_text", "pdf_documents", "sampled_frames", "web_documents"]

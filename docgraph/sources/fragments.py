@@ -27,11 +27,9 @@ def _text(v: Column, path: str) -> Column:
 
 def _items(fragments: DataFrame, key: str) -> DataFrame:
     """file, source, pos, item of each element of an array of the fragment."""
-    fragments.createOrReplaceTempView("__fragments")
-    return fragments.sparkSession.sql(
-        f"""SELECT file, try_variant_get(v, '$["@id"]', 'string') AS source, pos, value AS item
-            FROM __fragments, LATERAL variant_explode_outer(try_variant_get(v, '$.{key}', 'variant')) WHERE value IS NOT NULL"""
-    )
+    listed = F.try_variant_get("v", f"$.{key}", "array<variant>")
+    items = fragments.select("file", _text(F.col("v"), '$["@id"]').alias("source"), F.posexplode(listed).alias("pos", "item"))
+    return items.filter("item is not null")
 
 
 def _ord() -> Column:
@@ -75,16 +73,16 @@ def read_context(spark: SparkSession, path: str) -> dict:
 
 
 def node_json(nodes: DataFrame) -> DataFrame:
-    """ord, json: nodes (with arrays, see operators.graph.node_documents) as published."""
+    """ord, json: nodes (with arrays, see operators.graph.node_documents) as published; a node in parts has a line for each."""
     published = F.to_json(F.struct(F.col("id").alias("@id"), F.col("type").alias("@type"), "name", "aliases", F.col("mentioned_in").alias("mentionedIn")))
-    return nodes.select("ord", published.alias("json"))
+    return nodes.select(F.struct("ord", "part").alias("ord"), published.alias("json"))
 
 
-def edge_json(edges: DataFrame) -> DataFrame:
-    """ord, json: edges as published."""
+def edge_json(edges: DataFrame, *kept: str) -> DataFrame:
+    """ord, json: edges as published, beside the columns ``kept``."""
     ref = lambda c: F.struct(F.col(c).alias("@id")).alias(c)
     published = F.to_json(F.struct(F.lit("woo:Relationship").alias("@type"), ref("subject"), "predicate", ref("object"), "confidence", F.col("extracted_by").alias("extractedBy")))
-    return edges.select("ord", published.alias("json"))
+    return edges.select(*kept, "ord", published.alias("json"))
 
 
 def write_json_lines(rows: DataFrame, path: str) -> None:

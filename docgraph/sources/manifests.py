@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docgraph.functions import names
+from docgraph.sources import scratch
 
 SOURCE_DDL = (
     "title string, type string, url string, file string, author string, date_added string, tags array<string>, description string, "
@@ -119,22 +120,41 @@ def parse_registry(texts: DataFrame) -> DataFrame:
 
 
 def registry_json(registry: DataFrame) -> DataFrame:
-    """ord, json: a line for each registry entry."""
+    """ord, json: a line for each registry entry, the form that grows with the registry."""
     return registry.select("ord", F.to_json(F.struct("id", "name", "type", "aliases", "sources")).alias("json"))
 
 
+def registry_file(registry: DataFrame) -> DataFrame:
+    """One row ``json``: the registry as one object of entries by id, in order, which :func:`parse_registry` reads.
+
+    One file is one row, so this suits registries that a reader could hold in memory.
+    """
+    empty = F.array().cast("array<string>")
+    entry = F.struct("name", "type", F.coalesce("aliases", empty).alias("aliases"), F.coalesce("sources", empty).alias("sources"))
+    listed = F.array_sort(F.collect_list(F.struct("ord", "id", entry.alias("entry"))))
+    entities = F.map_from_entries(F.transform(listed, lambda e: F.struct(e["id"], e["entry"])))
+    return registry.agg(F.to_json(F.struct(entities.alias("entities"))).alias("json"))
+
+
+def save_registry(registry: DataFrame, path: str) -> None:
+    registry_file(registry).coalesce(1).write.mode("overwrite").text(path)
+
+
 def cached(requests: DataFrame, cache: DataFrame, *parts: str) -> DataFrame:
     """Requests with ``key`` and the cached ``value``, null if there is none. Cache: key, value."""
     return requests.withColumn("key", names.cache_key(*(F.col(p) for p in parts))).join(cache.select("key", "value"), "key", "left")
 
 
-def complete(requests: DataFrame, cache: DataFrame, complete_one: Callable[[str], str | None], prompt: str, concurrency: int = 3) -> DataFrame:
-    """Requests with ``value``: cached replies, and new ones by ``complete_one`` in at most ``concurrency`` tasks.
+def complete(requests: DataFrame, cache: DataFrame, complete_one: Callable[[str], str | None], prompt: str, concurrency: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Requests with ``value``, and the cache (key, value) with the new replies.
 
-    A call that fails leaves its own reply null.
+    Each distinct request that the cache lacks is put to ``complete_one`` once, in at most ``concurrency``
+    tasks at a time; replies are written to the shared folder before anything uses them, so
+    that nothing computed later asks again. A call that fails leaves its own reply
+    null and isn't cached.
     """
-    known = cached(requests, cache, prompt)
-    missing = known.filter("value is null").drop("value")
+    spark = requests.sparkSession
+    missing = cached(requests, cache, prompt).filter("value is null").groupBy("key").agg(F.min(prompt).alias("prompt"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def reply(text: str) -> str | None:
@@ -144,11 +164,24 @@ def complete(requests: DataFrame, cache: DataFrame, complete_one: Callable[[str]
                 return None
 
         for pdf in batches:
-            yield pdf.assign(value=pdf[prompt].map(reply))
-
-    schema = known.schema
-    asked = missing.repartition(concurrency).mapInPandas(run, missing.withColumn("value", F.lit(None).cast("string")).schema)
-    return known.filter("value is not null").select(schema.names).union(asked.select(schema.names))
+            yield pd.DataFrame({"key": pdf["key"], "value": pdf["prompt"].map(reply)})
+
+    asked = scratch.materialise(missing.repartition(concurrency).mapInPandas(run, "key string, value string"), scratch.new_folder(spark, "replies"), "new")
+    grown = cache.select("key", "value").union(asked.filter("value is not null"))
+    return cached(requests, grown, prompt), grown
+
+
+def put(cache: DataFrame, path: str) -> None:
+    """Append the entries (key, value) that the cache below ``path`` lacks; their keys are hashes, so none is ever overwritten."""
+    spark = cache.sparkSession
+    try:
+        known = spark.read.schema("key string, value string").parquet(path)
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        known = spark.createDataFrame([], "key string, value string")
+    fresh = cache.select("key", "value").dropDuplicates(["key"]).join(known.select("key"), "key", "left_anti")
+    scratch.materialise(fresh, scratch.new_folder(spark, "cache"), "fresh").write.mode("append").parquet(path)
 
 
 def lookup_state(entry: Column) -> Column:
