@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docgraph.llm import bpe, exact_dedup, language_id, license_scan, line_dedup, near_dup, ogg, packing, quality, warc
+from docgraph.sources import scratch
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +46,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     page = F.col("capture.metadata.fields")["page-id"].try_cast("long").alias("page_id")
     named = captures.select("capture", page, F.col("capture.response.payload_bytes").alias("n_bytes"))
     revisit = F.col("capture.response.type") == "revisit"
-    return warc.resolve(named, "page_id", "n_bytes").select(
+    return warc.resolve(named, scratch.new_folder(spark, "warc"), "page_id", "n_bytes").select(
         "page_id",
         # A revisit has no payload of its own: it was measured where it refers to.
         F.when(revisit, F.col("original.n_bytes")).otherwise(F.col("n_bytes")).alias("payload_bytes"),

@@ -215,14 +215,20 @@ def assemble(recs: DataFrame) -> DataFrame:
     return groups.filter("n > 0").select(F.struct("request", "response", "metadata").alias("capture"), F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")).drop("copy")
 
 
-def resolve(captures: DataFrame, *kept: str) -> DataFrame:
-    """captures with ``original``: the columns ``kept`` of the response that a revisit refers to, by its record id.
+def resolve(captures: DataFrame, folder: str, *kept: str) -> DataFrame:
+    """captures with ``original``: the columns ``kept`` of the response that a revisit refers to, by its record id; null for responses.
 
-    ``captures`` is read twice and had better be a table.
+    ``captures`` is read several times and had better be a table. What is referred to becomes a table
+    below ``folder``, so that Spark can split the many revisits of one response.
     """
-    own = F.col("capture.response.record_id").alias("__refers")
-    originals = captures.filter("capture.response.type = 'response'").groupBy(own).agg(F.min(F.struct(*kept)).alias("original"))
-    return captures.withColumn("__refers", F.col("capture.response.refers_to")).join(originals, "__refers", "left").drop("__refers")
+    revisit = F.col("capture.response.type") == "revisit"
+    revisits = captures.filter(revisit).withColumn("__refers", F.col("capture.response.refers_to"))
+    responses = captures.filter(~revisit)
+    wanted = revisits.select("__refers").distinct()
+    named = responses.select(F.col("capture.response.record_id").alias("__refers"), F.struct(*kept).alias("original"))
+    originals = scratch.materialise(named.join(wanted, "__refers", "left_semi").groupBy("__refers").agg(F.min("original").alias("original")), folder, "originals")
+    none = F.lit(None).cast(originals.schema["original"].dataType).alias("original")
+    return responses.select("*", none).unionByName(revisits.join(originals, "__refers", "left").drop("__refers"))
 
 
 def warc_captures(pages: DataFrame, with_payload: bool = False) -> DataFrame:
