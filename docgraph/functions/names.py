@@ -191,7 +191,3 @@ def cache_file(id_: Column) -> Column:
     """The file of an id in a cache of files."""
     return F.concat(F.translate(id_, ":/", "__"), F.lit(".json"))
 
-
-def first_and_more(items: Column, n: int) -> Column:
-    """The first ``n`` items, and how many more there are."""
-    return F.struct(F.slice(items, F.lit(1), F.lit(n)).alias("shown"), F.greatest(F.size(items) - n, F.lit(0)).alias("more"))

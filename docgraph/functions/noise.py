@@ -9,13 +9,14 @@ from docgraph.functions.names import SOURCE_TYPE, strip
 
 # Word lists and patterns.
 ENTITY_LABELS = ["PERSON", "ORG", "GPE", "LOC", "DATE", "EVENT", "WORK_OF_ART", "FAC"]
-COMMON_WORDS = """
-    east west north south new old general special local remote total standard statistical
-    manuscript symposia symposium baseline random normal primary secondary analysis method
-    methods model models theory experiment experiments result results data system process field
-    fields effect effects series trial trials operator operators appendix abstract summary review
-    note notes letter comment comments reply response proceedings conference workshop seminar
-""".split()
+COMMON_WORDS = [
+    "east", "west", "north", "south", "new", "old", "general", "special", "local", "remote", "total", "standard",
+    "statistical", "manuscript", "symposia", "symposium", "baseline", "random", "normal", "primary", "secondary",
+    "analysis", "method", "methods", "model", "models", "theory", "experiment", "experiments", "result", "results",
+    "data", "system", "process", "field", "fields", "effect", "effects", "series", "trial", "trials", "operator",
+    "operators", "appendix", "abstract", "summary", "review", "note", "notes", "letter", "comment", "comments",
+    "reply", "response", "proceedings", "conference", "workshop", "seminar",
+]
 REFERENCE_PATTERNS = [
     r"^\d+[\s,]*\d*\s*[\^]",
     r"^\[\d+\]",
@@ -41,14 +42,15 @@ REFERENCE_PATTERNS = [
     r",$",
 ]
 GRAPH_NOISE_PATTERNS = [r"[\\${}]", r"\|.*\|", r"^[\d\s.,;:()/\-–]+$", r"^(br|nbsp)>"]
-NON_PLACES = """
-    alternatively bayesian logistic baseline random normal primary secondary general standard
-    statistical experimental theoretical local remote global national international east west
-    north south central early late mid modern ancient various several many few multiple
-    pharmacology consciousness space alchemy divinity healing psychotherapy anesthesia anomaly
-    mass automatic reference perspective addenda calibrations checksum sigma consequence
-    notwithstanding superficially strands ideas dialectica quanta
-""".split()
+NON_PLACES = [
+    "alternatively", "bayesian", "logistic", "baseline", "random", "normal", "primary", "secondary", "general",
+    "standard", "statistical", "experimental", "theoretical", "local", "remote", "global", "national",
+    "international", "east", "west", "north", "south", "central", "early", "late", "mid", "modern", "ancient",
+    "various", "several", "many", "few", "multiple", "pharmacology", "consciousness", "space", "alchemy", "divinity",
+    "healing", "psychotherapy", "anesthesia", "anomaly", "mass", "automatic", "reference", "perspective", "addenda",
+    "calibrations", "checksum", "sigma", "consequence", "notwithstanding", "superficially", "strands", "ideas",
+    "dialectica", "quanta",
+]
 PLACE_NOISE_PATTERNS = [
     r"[&|>{}<$\\]",
     r"^\d+$",

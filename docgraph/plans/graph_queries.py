@@ -244,14 +244,13 @@ def _fragment(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, D
     rows = scratch.materialise(p.base(spark, sf_dir), scratch.new_folder(spark, "fragments"), "rows")
     title = F.when(F.col("ok") % 3 == 0, F.concat(F.lit("Wikipedia: "), F.lower("work"))).when(F.col("ok") % 3 == 1, F.concat(F.lit("A note on "), "place", F.lit(" and others"))).otherwise(F.concat(F.lit("PEAR: 1995 - Report "), F.col("ok").cast("string")))
     sources = rows.groupBy("source").agg(F.min(F.struct(*p.KEYS, title.alias("title")))["title"].alias("title"))
-    kinds = [("work", "WORK_OF_ART", "creativework"), ("place", "GPE", "place"), ("organization", "ORG", "organization")]
-    items = [F.struct(F.concat(F.lit(f"entity:{prefix}-"), p.names.slug(F.col(c))).alias("id"), F.lit(label).alias("label"), F.col(c).alias("name"), F.lit(i).alias("pos")) for i, (c, label, prefix) in enumerate(kinds)]
+    kinds = [("work", "WORK_OF_ART"), ("place", "GPE"), ("organization", "ORG")]
+    items = [F.struct(F.col(f"{c}_id").alias("id"), F.lit(label).alias("label"), F.col(c).alias("name"), F.lit(i).alias("pos")) for i, (c, label) in enumerate(kinds)]
     entities = rows.select("source", *p.KEYS, F.explode(F.array(*items)).alias("e")).groupBy("source", "e.id", "e.label", "e.name").agg(F.min(F.struct(*p.KEYS, "e.pos")).alias("ord"))
     # Orders of even numbers relate an organization with a work, those of odd numbers a place with itself.
     even = F.col("ok") % 2 == 0
-    place = F.concat(F.lit("entity:place-"), p.names.slug(F.col("place")))
-    subject = F.when(even, F.concat(F.lit("entity:organization-"), p.names.slug(F.col("organization")))).otherwise(place)
-    object_ = F.when(even, F.concat(F.lit("entity:creativework-"), p.names.slug(F.col("work")))).otherwise(place)
+    subject = F.when(even, F.col("organization_id")).otherwise(F.col("place_id"))
+    object_ = F.when(even, F.col("work_id")).otherwise(F.col("place_id"))
     extracted = rows.select("source", subject.alias("subject"), F.lit("part_of").alias("predicate"), object_.alias("object"), "confidence", "extracted_by")
     return sources, entities, extracted
 

@@ -39,11 +39,19 @@ def _id(kind: str, name: Column) -> Column:
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line of an order with what it mentions; the keys together are unique."""
+    """One row per line of an order with what it mentions and the ids of that; the keys together are unique.
+
+    Ids are made where names are few, in the tables that lines are joined with.
+    """
     t = lambda n: table(spark, sf_dir, n)
     own = spread(t("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_discount", "l_returnflag", "l_linestatus"))
-    lines = own.join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-    lines = lines.join(t("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey")).join(t("nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    orders = t("orders").select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "MMMM d, yyyy").alias("date")).withColumn("date_id", _id("date", F.col("date")))
+    customers = t("customer").select("c_custkey", F.col("c_name").alias("person"), _id("person", F.col("c_name")).alias("person_id"))
+    places = t("nation").select("n_nationkey", F.col("n_name").alias("place"), _id("place", F.col("n_name")).alias("place_id"))
+    suppliers = t("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("s_name").alias("organization"), _id("organization", F.col("s_name")).alias("organization_id"), "place", "place_id")
+    works = t("part").select("p_partkey", "p_brand", _id("creativework", F.col("p_brand")).alias("work_id"))
+    lines = own.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(customers, F.col("o_custkey") == F.col("c_custkey"))
+    lines = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(works, F.col("l_partkey") == F.col("p_partkey"))
     return lines.select(
         F.col("l_orderkey").alias("ok"),
         F.col("l_linenumber").alias("ln"),
@@ -51,11 +59,13 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_suppkey").alias("sk"),
         F.col("l_extendedprice").alias("ep"),
         F.concat(F.lit("source:o-"), "l_orderkey").alias("source"),
-        F.col("c_name").alias("person"),
-        F.col("s_name").alias("organization"),
+        "person",
+        "organization",
+        # One brand under two spellings, which have one id.
         F.when(F.col("l_orderkey") % 3 == 0, F.upper("p_brand")).otherwise(F.col("p_brand")).alias("work"),
-        F.col("n_name").alias("place"),
-        F.date_format("o_orderdate", "MMMM d, yyyy").alias("date"),
+        "place",
+        "date",
+        *(f"{kind}_id" for kind, _ in _KINDS),
         F.round(1 - F.col("l_discount"), 2).alias("confidence"),
         F.concat("l_returnflag", "l_linestatus").alias("extracted_by"),
     )
@@ -73,7 +83,7 @@ _PREFIX = {"work": "creativework"}
 
 
 def _ids(kind: str) -> Column:
-    return _id(_PREFIX.get(kind, kind), F.col(kind))
+    return F.col(f"{kind}_id")
 
 
 def _id_sql(kind: str) -> str:

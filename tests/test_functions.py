@@ -170,3 +170,29 @@ def test_similarity(spark):
 
 def test_two_places(spark):
     assert column(spark, [0.125, 0.375, 2.0, None], markup.two_places, "v double") == ["0.12", "0.38", "2.00", None]
+
+
+# Names chosen by hand, one for each pattern of a list in its order, so that a pattern that is wrong or lost shows.
+REFERENCES = ["12, 3^ back", "[12] Smith", "p. 45", "12-19", "(12)", "a^b", "ABC", "1942", "https://x.y", "cost $5 {x}", "a|b|c", "12.5 (3)", "br>", "Fig.", "eds.", "Table 4", "Several men", "late 1940s", "18th Century", "3rd man", "ten years ago", "Smith,"]
+PLACES = ["A & B Road", "123", "TX", "---", "Paris,", "(Paris", "the Table 3", "2nd Street", "a [[b", "a\nb", "Paris (12", "the Alsace-Lorraine", "see www.x", "a; b: c", "two  blanks", "paris", "7 Main 9"]
+
+
+def flags(spark, values, column):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").select("i", column(F.col("v")).alias("f")).collect()
+    return [r["f"] for r in sorted(rows)]
+
+
+def test_each_pattern_of_the_lists(spark):
+    assert len(REFERENCES) == len(noise.REFERENCE_PATTERNS) and len(PLACES) == len(noise.PLACE_NOISE_PATTERNS)
+    for examples, patterns, letters in ((REFERENCES, noise.REFERENCE_PATTERNS, "dU"), (PLACES, noise.PLACE_NOISE_PATTERNS, "d")):
+        for example, pattern in zip(examples, patterns, strict=True):
+            assert flags(spark, [example, "Robert Jahn"], lambda c, p=pattern, x=letters: noise.matches(c, [p], x)) == [True, False], pattern
+    assert flags(spark, REFERENCES, noise.is_reference) == [True] * len(REFERENCES)
+    assert not any(flags(spark, PLACES, noise.is_geocodable))
+    assert flags(spark, ["Robert Jahn", "Princeton University", "the Pentagon", "May 1942"], noise.is_reference) == [False] * 4
+    assert flags(spark, ["Princeton", "New York", "the Netherlands", "São Paulo", "bayesian", "Quanta", "ab"], noise.is_geocodable) == [True, True, True, True, False, False, False]
+
+
+def test_word_lists_are_whole():
+    assert len(noise.COMMON_WORDS) == len(set(noise.COMMON_WORDS)) and {"east", "manuscript", "workshop", "seminar", "proceedings"} <= set(noise.COMMON_WORDS)
+    assert len(noise.NON_PLACES) == len(set(noise.NON_PLACES)) and {"alternatively", "quanta", "global", "sigma"} <= set(noise.NON_PLACES)
