@@ -8,8 +8,11 @@
    at buckets; a bucket over ``capacity`` splits by its next bit, and the
    directory doubles when the bucket already used all of its bits. Equal keys
    chain, and a chain is searched by comparing bytes.
-3. The buckets are written to the shared folder. Each document then finds its
-   chain entry by key and SHA-256 (Spark splits the skewed side of that join).
+3. The buckets and the directory are written to the shared folder. Each document
+   then looks its key up in the directory of the key's owner, and its text, by
+   length and SHA-256, in the chain of its key in the bucket found. Both lookups are
+   joins with tables, whose skewed side Spark splits. ``find`` does the same for
+   texts that aren't in the index.
 
 Defined results: a null text counts as empty. The survivor of a group is its
 largest non-null doc_id; rows with a null doc_id count in ``group_size`` but are
@@ -23,11 +26,13 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docgraph.sources import scratch
 
+# The directory is stored by bucket: of 2**(global depth) slots, those that agree with a bucket's prefix in its own depth point at it.
+
 #: Bytes of distinct text that a map task folds before it hands them on.
 FOLD_BYTES = 32 << 20
 #: Bytes of text that an owner is meant to hold.
@@ -165,23 +170,46 @@ def key_column(text, key_bits: int):
     return h if key_bits == 64 else h.bitwiseAND(F.lit((1 << key_bits) - 1))
 
 
-def build_index(docs: DataFrame, folder: str, capacity: int = BUCKET_CAPACITY, key_bits: int = 64) -> DataFrame:
-    """Write the index of all texts of ``docs`` (doc_id, text) below ``folder`` and return its entries."""
+class Index:
+    """The stored tables: ``directory`` (owner, depth, bucket) and ``entries`` (owner, bucket, h, chain, ...)."""
+
+    def __init__(self, directory: DataFrame, entries: DataFrame, owner_bits: int, key_bits: int) -> None:
+        self.directory, self.entries, self.owner_bits, self.key_bits = directory, entries, owner_bits, key_bits
+
+    def owner(self) -> Column:
+        return _owner(self.owner_bits, self.key_bits)
+
+    def find(self, docs: DataFrame) -> DataFrame:
+        """doc_id, text_sha256, keep_id and group_size of the documents of ``docs`` (doc_id, text) whose text the index has."""
+        text = F.coalesce("text", F.lit(""))
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key_column(text, self.key_bits).alias("h"), F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(F.encode(text, "utf-8"), 256).alias("text_sha256"))
+        depths = [r[0] for r in self.directory.select("depth").distinct().collect()]  # MAX_DEPTH + 1 at most
+        guess = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), F.col("h").bitwiseAND(F.lit((1 << d) - 1)).alias("bucket")) for d in depths)) if depths else F.array().cast("array<struct<depth:int,bucket:long>>"))
+        guessed = rows.withColumn("owner", self.owner()).select("*", guess.alias("at")).select(*rows.columns, "owner", "at.depth", "at.bucket")
+        placed = guessed.join(self.directory, ["owner", "depth", "bucket"]).drop("depth")
+        entries = self.entries.select("owner", "bucket", "h", "n_bytes", "text_sha256", "keep_id", "group_size")
+        return placed.join(entries, ["owner", "bucket", "h", "n_bytes", "text_sha256"]).select("doc_id", "text_sha256", "keep_id", "group_size")
+
+
+def _owner(owner_bits: int, key_bits: int) -> Column:
+    return F.shiftrightunsigned("h", max(0, key_bits - owner_bits)).cast("int")
+
+
+def build_index(docs: DataFrame, folder: str, capacity: int = BUCKET_CAPACITY, key_bits: int = 64) -> Index:
+    """Write the index of all texts of ``docs`` (doc_id, text) below ``folder``."""
     spark = docs.sparkSession
     text = F.coalesce("text", F.lit(""))
     total = docs.agg(F.sum(F.octet_length("text"))).head()[0] or 0
     bits = max(total // OWNER_BYTES, scratch.shuffle_partitions(spark) - 1, 1).bit_length()
-    owner = F.shiftrightunsigned("h", max(0, key_bits - bits)).cast("int")
+    owner = _owner(bits, key_bits)
     folded = docs.select(key_column(text, key_bits).alias("h"), F.encode(text, "utf-8").alias("body"), F.col("doc_id").cast("long")).mapInArrow(_fold, "h long, body binary, keep_id long, group_size long")
-    entries = folded.repartitionById(1 << bits, owner).mapInArrow(_own(capacity, key_bits), _ENTRY_DDL)
-    return scratch.materialise(entries, folder, "index")
+    entries = folded.repartitionById(1 << bits, owner).mapInArrow(_own(capacity, key_bits), _ENTRY_DDL).withColumn("owner", owner)
+    entries = scratch.materialise(entries, folder, "buckets")
+    directory = scratch.materialise(entries.select("owner", "depth", "bucket").distinct(), folder, "directory")
+    return Index(directory, entries, bits, key_bits)
 
 
 def exact_dedup(docs: DataFrame, capacity: int = BUCKET_CAPACITY, key_bits: int = 64) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256."""
     index = build_index(docs, scratch.new_folder(docs.sparkSession, "exact_dedup"), capacity, key_bits)
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key_column(text, key_bits).alias("h"), F.sha2(F.encode(text, "utf-8"), 256).alias("text_sha256"))
-    return rows.join(index.select("h", "text_sha256", "keep_id", "group_size"), ["h", "text_sha256"]).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
-    )
+    return index.find(docs).select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")

@@ -50,6 +50,19 @@ def test_exact_dedup_equals_brute_force(spark, key_bits, capacity):
     assert len(found) == 300
 
 
+def test_index_is_read_through_its_directory(spark, tmp_path):
+    texts = [(i, f"text {i % 150}") for i in range(200)]
+    index = exact_dedup.build_index(docs(spark, texts), f"file://{tmp_path}", capacity=2)
+    buckets = [(r["owner"], r["depth"], r["bucket"]) for r in index.directory.collect()]
+    assert len(buckets) > 60 and len({d for _, d, _ in buckets}) > 1
+    for owner, depth, prefix in buckets:  # no bucket's slots are another's
+        assert sum(o == owner and (prefix ^ p) & ((1 << min(d, depth)) - 1) == 0 for o, d, p in buckets) == 1
+    entries = index.entries.collect()
+    assert all(r["bucket"] == r["h"] & ((1 << r["depth"]) - 1) for r in entries) and len(entries) == 150
+    asked = docs(spark, [(1000, "text 7"), (1001, "text 170"), (1002, "unknown"), (1003, None)])
+    assert [(r["doc_id"], r["keep_id"], r["group_size"]) for r in index.find(asked).collect()] == [(1000, 157, 2)]
+
+
 def test_exact_dedup_odd_rows(spark):
     found = exact_dedup.exact_dedup(table(spark, ODD_ROWS)).collect()
     assert len(found) == len(ODD_ROWS)
