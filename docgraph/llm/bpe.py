@@ -17,6 +17,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +43,11 @@ def read_ranks(path: str) -> list[bytes]:
     return [ranks[i] for i in range(len(ranks))]
 
 
+_CHARACTERS = {b: FIRST_CHARACTER + b for b in range(256)}
+
+
 def piece(token: bytes) -> str:
-    return "".join(chr(FIRST_CHARACTER + b) for b in token)
+    return token.decode("latin-1").translate(_CHARACTERS)
 
 
 def _varint(n: int) -> bytes:
@@ -83,24 +87,24 @@ class Codec:
         self.find = regex.compile(pattern).findall
         self.memo: dict[str, bytes] = {}
 
-    def _ids(self, pre_token: str) -> bytes:
-        raw = pre_token.encode()
-        own = self.rank.get(raw)
-        ids = [own] if own is not None else self.model.encode(piece(raw))
-        return np.array(ids, "<u4").tobytes()
+    def _ids(self, pre_tokens: list[str]) -> list[bytes]:
+        raw = [t.encode() for t in pre_tokens]
+        ids = [self.rank.get(r) for r in raw]
+        merged = iter(self.model.encode([piece(r) for r, own in zip(raw, ids, strict=True) if own is None], num_threads=1))
+        listed = ([own] if own is not None else next(merged) for own in ids)
+        return [struct.pack(f"<{len(own)}I", *own) for own in listed]
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        memo, out = self.memo, []
-        for pre_token in self.find(text):
-            ids = memo.get(pre_token)
-            if ids is None:
-                if len(memo) >= MEMO:
-                    memo.clear()
-                ids = self._ids(pre_token)
-                if len(pre_token) <= 64:
-                    memo[pre_token] = ids
-            out.append(ids)
+        pre_tokens = self.find(text)
+        out = list(map(self.memo.get, pre_tokens))
+        if None in out:
+            new = list({t for t, ids in zip(pre_tokens, out, strict=True) if ids is None})
+            learnt = dict(zip(new, self._ids(new), strict=True))
+            out = [learnt[t] if ids is None else ids for t, ids in zip(pre_tokens, out, strict=True)]
+            if len(self.memo) + len(learnt) > MEMO:
+                self.memo.clear()
+            self.memo.update(islice(((t, ids) for t, ids in learnt.items() if len(t) <= 64), MEMO))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
