@@ -209,6 +209,8 @@ def quality(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE) -> D
     salted = apart.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     spread = medians.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     by_lang = salted.join(spread, ["lang", "salt"]).groupBy(F.col("lang").alias("of")).agg(F.first("median").alias("median"), at(quantile, drawn(F.col("median"))).alias("high"))
+    # A table of known size: Spark broadcasts a small one, and can split a common language's documents beside a large one.
+    by_lang = scratch.materialise(by_lang, folder, "thresholds")
     joined = scores.join(by_lang, F.coalesce("lang", F.lit("und")) == F.col("of"), "left")
     threshold = F.coalesce("high", high)
     accepted = drawn(F.coalesce("median", middle)) <= threshold
