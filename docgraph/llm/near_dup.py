@@ -122,14 +122,13 @@ class Shingler:
         memo = self.memo
         if len(memo) > MEMO:
             memo.clear()
-        out = []
-        for word in words:
-            own = memo.get(word)
-            if own is None:
-                own = xxhash.xxh3_64_intdigest(word)
-                if len(memo) <= MEMO:
-                    memo[word] = own
-            out.append(own)
+        out = list(map(memo.get, words))
+        if None in out:
+            for i, own in enumerate(out):
+                if own is None:
+                    out[i] = own = xxhash.xxh3_64_intdigest(words[i])
+                    if len(memo) <= MEMO:
+                        memo[words[i]] = own
         h = np.array(out, _U)
         if not len(h):
             return h
