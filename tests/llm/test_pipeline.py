@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from docgraph.llm import language_id, line_dedup, near_dup, packing, quality
 from tests.llm.helpers import ODD_ROWS, table
+from tests.llm.test_texts import brute_lines, brute_near, brute_pack
 
 
 @pytest.fixture(scope="module")
@@ -61,6 +64,24 @@ def test_near_duplicate_stage(stages):
     assert ids(made) == ids(near_dup.near_duplicates(given).filter("kept")) and made.count() < given.count()
 
 
+def test_line_and_near_duplicate_stages_equal_brute_force(stages):
+    rows = lambda df: [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    given, made = stages[2]
+    assert dict(rows(made)) == {i: kept for i, (_, _, kept) in brute_lines(rows(given)).items()}
+    given, made = stages[3]
+    assert ids(made) == sorted(i for i, (_, component) in brute_near(rows(given), 5).items() if component == i)
+
+
+def test_packing_stage_equals_brute_force(stages):
+    given, made = stages[4]
+    rows = []
+    for r in given.collect():
+        text = r["text"] or ""
+        rows.append((r["doc_id"], max(1, len(re.findall(r"[^\x20\x09-\x0D]+", text))), r["source"], text.lower() or None))
+    found = {(r["doc_id"], r["piece"]): (r["bin_id"], r["bin_offset"]) for r in made.collect()}
+    assert found == brute_pack(rows, packing.CAPACITY)
+
+
 def test_packing_stage(stages):
     given, made = stages[4]
     assert ids(made.filter("piece = 0")) == ids(given)

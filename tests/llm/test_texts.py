@@ -594,6 +594,17 @@ def test_packing_keeps_everything_and_all_constraints(spark):
         assert len({source[r["doc_id"]] for r in own}) == len(own)
 
 
+def test_packing_in_shards_equals_brute_force(spark):
+    rng = random.Random(9)
+    rows = [(i, ("w " * rng.randint(1, 90)).strip(), "en", rng.choice(["hot", "hot", "a", "b", None])) for i in range(300)]
+    found = packing.pack(table(spark, rows), capacity=100, shard_rows=70).collect()
+    shard = {r["doc_id"]: r["s"] for r in table(spark, rows).select("doc_id", F.pmod(F.xxhash64("doc_id", "text"), F.lit(5)).alias("s")).collect()}
+    assert len(set(shard.values())) == 5
+    for k in range(5):
+        own = [(i, len(t.split()), source, t) for i, t, _, source in rows if shard[i] == k]
+        assert {(r["doc_id"], r["piece"]): (r["bin_id"] - (k << 32), r["bin_offset"]) for r in found if shard[r["doc_id"]] == k} == brute_pack(own, 100)
+
+
 def test_packing_odd_rows(spark):
     packed = packing.pack(table(spark, ODD_ROWS)).collect()
     assert sum(r["piece"] == 0 for r in packed) == len(ODD_ROWS)
