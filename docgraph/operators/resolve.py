@@ -16,6 +16,8 @@ from docgraph.sources import scratch
 
 AMBIGUITY = 0.15
 MAX_CANDIDATES = 5
+#: Entities that one pass of the disambiguation is meant to take.
+SHARE = 5000
 
 
 def by_id(entities: DataFrame, registry: DataFrame) -> DataFrame:
@@ -44,46 +46,46 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-# Fixed order of characters for prefixes: from rare to common in names; what isn't listed is rarer than any of them.
-_COMMON_LAST = "zqxjkvbpygfwmucldrhsnioate "
-
-
 def _tokens(name: Column) -> Column:
-    """The characters of a lower-cased name as sorted numbers: rare ones first, then those seen more often before.
-
-    Numbered by occurrence, they are sets that overlap as the multisets of characters do.
-    """
+    """The characters of a lower-cased name, numbered by occurrence: sets that overlap as the multisets of characters do."""
     letters = F.filter(F.split(F.lower(name), ""), lambda c: c != "")
+    return F.transform(letters, lambda c, i: F.shiftleft(F.size(F.filter(F.slice(letters, F.lit(1), i), lambda x: x == c)).cast("long"), 32) + F.ascii(c))
 
-    def token(c: Column, i: Column) -> Column:
-        rank = F.instr(F.lit(_COMMON_LAST), c).cast("long")
-        before = F.size(F.filter(F.slice(letters, F.lit(1), i), lambda x: x == c)).cast("long")
-        return F.when(rank > 0, F.lit(1 << 48)).otherwise(F.lit(0)) + F.shiftleft(F.lit(65535).cast("long") - F.least(before, F.lit(65535)), 32) + F.shiftleft(rank, 24) + F.ascii(c)
 
-    return F.array_sort(F.transform(letters, token))
+def _runs(name: Column, length: Column) -> Column:
+    """The distinct substrings of a length."""
+    starts = F.sequence(F.lit(1), F.length(name) - length + 1)
+    return F.array_distinct(F.transform(starts, lambda i: F.substr(name, i, length)))
 
 
 def similar_names(wanted: DataFrame, owned: DataFrame, threshold: float) -> DataFrame:
     """Pairs of rows of ``wanted`` (type, wanted, ...) and ``owned`` (type, own, ...) whose names' ratio is ``threshold`` or more, with ``score``.
 
-    The ratio is twice the matching characters over both lengths, and no more
-    characters can match than the multisets have in common. So names of lengths
-    a and b that reach the threshold share t = ceil(threshold (a + b) / 2) tokens (characters numbered by
-    occurrence), and then their prefixes of a - t + 1 and b - t + 1 tokens in any fixed order share one:
-    pairs meet by type, length and one rare token, each pair at its first common token only. The multisets' bound
-    comes before scoring, which is the only step in Python.
+    The ratio is twice the matching characters over both lengths a and b. So at least
+    m = ceil(threshold (a + b) / 2) characters match, in blocks between which a
+    character of one name or the other is left over: a + b - 2m + 1 blocks at most, of which the longest
+    has m / (a + b - 2m + 1) characters or more. Pairs meet by type, length and one common
+    substring of that many characters, each pair at its first one only. As no more characters can match
+    than the multisets have in common, that is looked at before scoring, which is the only step in Python.
     """
     factor = threshold / (2 - threshold)
-    need = lambda a, b: F.ceil((a + b) * threshold / 2 - 1e-9)
-    ask = wanted.withColumn("__a", F.length(F.lower("wanted")).cast("long")).withColumn("__tokens", _tokens(F.col("wanted")))
-    low, high = F.ceil(F.col("__a") * factor - 1e-9), F.floor(F.col("__a") / factor + 1e-9)
-    ask = ask.withColumn("__b", F.explode(F.sequence(low, high))).withColumn("__prefix", F.slice("__tokens", F.lit(1), (F.col("__a") - need(F.col("__a"), F.col("__b")) + 1).cast("int")))
-    there = owned.withColumn("__b", F.length(F.lower("own")).cast("long")).withColumn("__own_tokens", _tokens(F.col("own")))
-    least = F.ceil(F.col("__b") * factor - 1e-9)
-    there = there.withColumn("__own_prefix", F.slice("__own_tokens", F.lit(1), (F.col("__b") - need(least, F.col("__b")) + 1).cast("int")))
-    met = ask.withColumn("__token", F.explode("__prefix")).join(there.withColumn("__token", F.explode("__own_prefix")), ["type", "__b", "__token"])
-    first = F.array_min(F.array_intersect("__prefix", "__own_prefix")) == F.col("__token")
-    enough = F.size(F.array_intersect("__tokens", "__own_tokens")) >= need(F.col("__a"), F.col("__b"))
+
+    def matching(total: Column) -> Column:
+        return F.ceil(total * threshold / 2 - 1e-9)
+
+    def longest(total: Column) -> Column:
+        return F.ceil(matching(total) / (total - 2 * matching(total) + 1)).cast("int")
+
+    def sizes(length: str) -> Column:
+        return F.sequence(F.ceil(F.col(length) * factor - 1e-9), F.floor(F.col(length) / factor + 1e-9))
+
+    ask = wanted.filter("wanted <> ''").withColumn("__name", F.lower("wanted")).withColumn("__a", F.length("__name").cast("long")).withColumn("__tokens", _tokens(F.col("wanted")))
+    ask = ask.withColumn("__b", F.explode(sizes("__a"))).withColumn("__q", longest(F.col("__a") + F.col("__b"))).withColumn("__runs", _runs(F.col("__name"), F.col("__q")))
+    there = owned.filter("own <> ''").withColumn("__own", F.lower("own")).withColumn("__b", F.length("__own").cast("long")).withColumn("__own_tokens", _tokens(F.col("own")))
+    there = there.withColumn("__q", F.explode(F.array_distinct(F.transform(sizes("__b"), lambda a: longest(a + F.col("__b")))))).withColumn("__own_runs", _runs(F.col("__own"), F.col("__q")))
+    met = ask.withColumn("__run", F.explode("__runs")).join(there.withColumn("__run", F.explode("__own_runs")), ["type", "__b", "__q", "__run"])
+    first = F.array_min(F.array_intersect("__runs", "__own_runs")) == F.col("__run")
+    enough = F.size(F.array_intersect("__tokens", "__own_tokens")) >= matching(F.col("__a") + F.col("__b"))
     # Names without characters match each other only.
     empty = wanted.filter("wanted = ''").join(owned.filter("own = ''"), "type")
     columns = [*wanted.columns, *(c for c in owned.columns if c != "type")]
@@ -110,7 +112,7 @@ def fuzzy(entities: DataFrame, registry: DataFrame, threshold: float = 0.8) -> D
 
 
 class Resolver:
-    """The sequential pass over entities that depend on each other: alike names, one name or one id.
+    """The sequential pass over entities, in order; entities that don't depend on each other may come between.
 
     ``places`` tells the order of registry entries, ``confirmed`` the pairs of an entity and an entry
     that a verdict takes for the same.
@@ -118,34 +120,29 @@ class Resolver:
 
     def __init__(self, places: dict[str, int], confirmed: set[tuple[str, str]]) -> None:
         self.places, self.confirmed = places, confirmed
-        self.names: dict[str, str] = {}  # names that this pass has given to entries, as their own or as aliases
+        self.names: dict[tuple[str, str], str] = {}  # (type, name) that this pass has given to entries
         self.new: dict[str, int] = {}  # entries that it has made, in order
-        self.called: dict[str, list[int]] = {}  # entities whose names an entry has got here
+        self.entry: dict[int, str] = {}  # entities whose names an entry has got here
 
-    def take(self, key: int, id_: str, name: str, known: list[tuple], earlier: dict[int, float]) -> tuple[str, str]:
+    def take(self, key: int, id_: str, type_: str, name: str, known: list[tuple], earlier: dict[int, float]) -> tuple[str, str]:
         """The canonical id of an entity, and the step that gave it.
 
         ``known`` are similar names of the registry (entry, place of the name, score),
-        ``earlier`` the scores of similar earlier entities.
+        ``earlier`` the scores of similar earlier entities by their keys.
         """
         if id_ in self.new:
             return id_, "id"
-        if name in self.names:
-            return self.names[name], "batch"
+        if (type_, name) in self.names:
+            return self.names[type_, name], "batch"
         scores = {found: score for found, _, score in sorted(known, key=lambda k: -k[1])}
-        for found, keys in self.called.items():
-            own = next((earlier[k] for k in keys if k in earlier), None)
-            if own is not None:
-                scores.setdefault(found, own)
+        for other in sorted(earlier.keys() & self.entry.keys()):
+            scores.setdefault(self.entry[other], earlier[other])
         best = min(scores, key=lambda f: (-scores[f], f in self.new, self.new.get(f, self.places.get(f, 0))), default=None)
-        if (id_, best) in self.confirmed:
-            self.names[name] = best
-            self.called.setdefault(best, []).append(key)
-            return best, "fuzzy"
-        self.names[name] = id_
-        self.new[id_] = len(self.new)
-        self.called[id_] = [key]
-        return id_, "new"
+        same = (id_, best) in self.confirmed
+        if not same:
+            self.new[id_] = len(self.new)
+        self.names[type_, name] = self.entry[key] = best if same else id_
+        return self.entry[key], "fuzzy" if same else "new"
 
 
 def disambiguate(entities: DataFrame, registry: DataFrame, verdicts: DataFrame | None = None, threshold: float = 0.7) -> DataFrame:
@@ -158,7 +155,7 @@ def disambiguate(entities: DataFrame, registry: DataFrame, verdicts: DataFrame |
 
     Only entities that no entry has by id or name are left for the pass. They depend
     on each other where names are alike or ids or names are the same, so the pass runs
-    on each connected component of these relations by itself. Without verdicts names
+    on each connected component of these relations by itself, small ones together. Without verdicts names
     needn't be alike, and everything is joins. Entities alike in id, type and name get
     what the first of them got.
     """
@@ -210,10 +207,12 @@ def _pass(unknown: DataFrame, registry: DataFrame, verdicts: DataFrame, threshol
         for r in rows:
             known = [(k["found"], k["pos"], k["score"]) for k in listed(r["known"])]
             earlier = {e["other"]: e["score"] for e in listed(r["earlier"])}
-            out.append((r["id"], r["type"], r["name"], *resolver.take(r["key"], r["id"], r["name"], known, earlier)))
+            out.append((r["id"], r["type"], r["name"], *resolver.take(r["key"], r["id"], r["type"], r["name"], known, earlier)))
         return pd.DataFrame(out, columns=["id", "type", "name", "batch_first", "own_step"])
 
-    return rows.groupBy("label").applyInPandas(run, _PASS_DDL)
+    # Many small components share a task's pass.
+    shares = max(1, -(-units.count() // SHARE))
+    return rows.groupBy(F.pmod(F.xxhash64("label"), F.lit(shares))).applyInPandas(run, _PASS_DDL)
 
 
 def grown_registry(registry: DataFrame, resolved: DataFrame) -> DataFrame:
