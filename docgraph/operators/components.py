@@ -24,6 +24,8 @@ def components(links: DataFrame, folder: str, name: str) -> DataFrame:
         turn += 1
         near = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("near"))
         lowered = labels.join(near, F.col("node") == F.col("a")).select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
+        # Read back, both sides of the next join are shuffled, and Spark can split the many nodes of one label.
+        lowered = scratch.materialise(lowered, folder, f"{name}_{turn}_lowered")
         target = lowered.select(F.col("node").alias("target"), F.col("label").alias("beyond"))
         jumped = lowered.join(target, F.col("label") == F.col("target")).select("node", "old", F.least("label", "beyond").alias("label"))
         written = scratch.materialise(jumped, folder, f"{name}_{turn}")
