@@ -96,39 +96,22 @@ def ui_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.ui_edges(*_merged(spark, sf_dir)).withColumns({"width": F.round("width", 6), "opacity": F.round("opacity", 6)})
 
 
-# A graph that falls into parts: customers of a nation and segment, suppliers of odd nations.
-def _parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    nodes, edges = p.dirty(spark, sf_dir)
-    return nodes, edges.filter("predicate = 'woo:bornIn' or (predicate = 'woo:locatedIn' and confidence > 0.65)")
-
-
-_PARTS_SQL = f"""{p.DIRTY_SQL},
-pe AS (SELECT subject AS a, object AS b FROM de WHERE predicate = 'woo:bornIn' OR (predicate = 'woo:locatedIn' AND confidence > 0.65)),
-pairs AS (SELECT a, b FROM pe UNION SELECT b, a FROM pe),
-reach(id, r) AS (SELECT a, a FROM pairs UNION SELECT id, b FROM reach JOIN pairs ON a = r),
-labels_ AS (SELECT id, min(r) AS label FROM reach GROUP BY id)"""
+# Labels spread along edges; the recursion is keyed, so that a node's label is replaced rather than listed again.
+_LABELS_SQL = f"""{p.DIRTY_SQL},
+pairs AS MATERIALIZED (SELECT subject AS a, object AS b FROM de UNION SELECT object, subject FROM de),
+labels_(id, label) USING KEY (id) AS (SELECT a, min(least(a, b)) FROM pairs GROUP BY a
+  UNION (SELECT pairs.b, min(near.label) FROM labels_ AS near JOIN pairs ON pairs.a = near.id JOIN recurring.labels_ AS known ON known.id = pairs.b WHERE near.label < known.label GROUP BY pairs.b))"""
 
 
-@query(f"WITH RECURSIVE {_PARTS_SQL} SELECT * FROM labels_")
+@query(f"WITH RECURSIVE {_LABELS_SQL} SELECT id, label FROM labels_")
 def node_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.node_components(_parts(spark, sf_dir)[1])
+    return views.node_components(p.dirty(spark, sf_dir)[1])
 
 
-@query(f"""WITH RECURSIVE {_PARTS_SQL}, l AS (SELECT dn.*, coalesce(label, dn.id) AS label FROM dn LEFT JOIN labels_ USING (id)),
+@query(f"""WITH RECURSIVE {_LABELS_SQL}, l AS (SELECT dn.*, coalesce(label, dn.id) AS label FROM dn LEFT JOIN labels_ USING (id)),
 biggest AS (SELECT label FROM l GROUP BY label ORDER BY count(*) DESC, min((kind, key)) LIMIT 1)
 SELECT id, type, name FROM l WHERE label = (SELECT label FROM biggest)""")
 def largest_component(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.largest_component(*_parts(spark, sf_dir)).select("id", "type", "name")
-
-
-# The whole graph, hot places and months too, which takes recursive SQL too long.
-@query()
-def whole_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.node_components(p.dirty(spark, sf_dir)[1])
-
-
-@query()
-def whole_largest_component(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.largest_component(*p.dirty(spark, sf_dir)).select("id", "type", "name")
 
 

@@ -152,9 +152,9 @@ def test_component_queries_cover_all_edges(spark, sf_dir):
     nodes, edges = projections.dirty(spark, sf_dir)
     pairs = [(r["subject"], r["object"]) for r in edges.collect()]
     want = union_find(pairs)
-    assert {r["id"]: r["label"] for r in view_queries.QUERIES["whole_components"](spark, sf_dir).collect()} == want
+    assert {r["id"]: r["label"] for r in view_queries.QUERIES["node_components"](spark, sf_dir).collect()} == want
     sizes = Counter(want.get(r["id"], r["id"]) for r in nodes.collect())
-    assert view_queries.QUERIES["whole_largest_component"](spark, sf_dir).count() == max(sizes.values())
+    assert view_queries.QUERIES["largest_component"](spark, sf_dir).count() == max(sizes.values())
     several = union_find((a, b) for a, b in pairs if b.startswith("source:") or a.startswith("entity:organization-") and b.startswith("entity:person-"))
     assert len(set(several.values())) > 50
     assert {r["id"]: r["label"] for r in view_queries.QUERIES["customer_components"](spark, sf_dir).collect()} == several
