@@ -45,8 +45,8 @@ SHINGLE_WORDS = 5
 THRESHOLD = 80
 #: Words whose hashes a task remembers.
 MEMO = 150_000
-#: Members that answer in a block of the exact search, and that ask in it.
-BLOCK = 1024
+#: Members that answer in a block of the exact search; twice as many ask in it.
+BLOCK = 512
 #: Shingles of a block, for either side: 16 MB of hashes.
 BLOCK_SHINGLES = 2_000_000
 #: Blocks of a bucket beyond which its members go into finer buckets first.
@@ -294,7 +294,7 @@ def _unresolved(members: DataFrame, labels: DataFrame, block: int) -> DataFrame:
         return F.greatest(F.ceil(F.col(rows) / most), F.ceil(F.col(shingles) / BLOCK_SHINGLES)).cast("int")
 
     slices = F.ceil(F.col("n") / SALT_ROWS).cast("int")
-    wanted = known.select("key", "hub_comp", parts("n", block, "weight").alias("blocks"), parts("askers", block, "asked").alias("turns"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
+    wanted = known.select("key", "hub_comp", parts("n", block, "weight").alias("blocks"), parts("askers", 2 * block, "asked").alias("turns"), F.explode(F.sequence(F.lit(0), slices - 1)).alias("slice"))
     sliced = placed.withColumn("slice", F.pmod(F.xxhash64(F.lit(2), "id"), slices).cast("int"))
     return sliced.join(wanted, ["key", "slice"]).select("key", "id", "comp", (F.col("comp") != F.col("hub_comp")).alias("asks"), "blocks", "turns")
 
