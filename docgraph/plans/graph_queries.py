@@ -292,7 +292,11 @@ UNION ALL SELECT source, subject, predicate, object, confidence, extracted_by FR
 UNION ALL SELECT ent.source, ent.id, 'woo:relatedTo', topic.id, 0.3, 'pipeline' FROM ent ANTI JOIN linked ON linked.source = ent.source AND linked.id = ent.id JOIN topic ON topic.source = ent.source AND topic.id <> ent.id""")
 def fragment_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     sources, entities, extracted = _fragment(spark, sf_dir)
-    return graph.fragment_edges(entities, extracted, graph.topics(sources, entities))
+    folder = scratch.new_folder(spark, "fragments")
+    # Both are looked at several times.
+    entities = scratch.materialise(entities, folder, "entities")
+    topic = scratch.materialise(graph.topics(sources, entities), folder, "topics")
+    return graph.fragment_edges(entities, extracted, topic)
 
 
 @query(f"WITH {p.BASE_SQL}{p.MERGED_EDGES_SQL} SELECT subject, predicate, object, confidence, extracted_by, n_sources, first_source FROM me")
