@@ -46,51 +46,76 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x, y) for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-def _tokens(name: Column) -> Column:
-    """The characters of a lower-cased name, numbered by occurrence: sets that overlap as the multisets of characters do."""
-    letters = F.filter(F.split(F.lower(name), ""), lambda c: c != "")
-    return F.transform(letters, lambda c, i: F.shiftleft(F.size(F.filter(F.slice(letters, F.lit(1), i), lambda x: x == c)).cast("long"), 32) + F.ascii(c))
+def _letters(name: Column) -> Column:
+    """The characters of a lower-cased name as a number: sixteen kinds of them, each counted by up to four bits."""
 
+    def count(bits: Column, c: Column) -> Column:
+        place = (F.ascii(c) % 16 * 4).cast("int")
+        left = F.call_function("shiftrightunsigned", bits, place).bitwiseAND(15)
+        return bits.bitwiseOR(F.call_function("shiftleft", (left + 1).bitwiseAND(15), place))
 
-def _runs(name: Column, length: Column) -> Column:
-    """The distinct substrings of a length."""
-    starts = F.sequence(F.lit(1), F.length(name) - length + 1)
-    return F.array_distinct(F.transform(starts, lambda i: F.substr(name, i, length)))
+    return F.aggregate(F.split(name, ""), F.lit(0).cast("long"), count)
+
+
+def _plan(asked: DataFrame, there: DataFrame, threshold: float) -> DataFrame:
+    """type, a, b, edits, n: the pairs of lengths of names that can be similar, how much of both may be left over, the parts of the second."""
+    total = F.col("a") + F.col("b")
+    matching = F.ceil(total * threshold / 2 - 1e-9)
+    pairs = asked.select("type", "a").distinct().join(there.select("type", "b").distinct(), "type").filter(matching <= F.least("a", "b"))
+    pairs = pairs.withColumn("edits", (total - 2 * matching).cast("int"))
+    return pairs.withColumn("n", F.least(F.col("edits") + 1, F.col("b")))
+
+
+def _meetings(asked: DataFrame, there: DataFrame, plan: DataFrame) -> DataFrame:
+    """w, o: pairs of names that have a part in common where they must, and characters enough."""
+    starts, ends = F.floor(F.col("i") * F.col("b") / F.col("n")).cast("int"), F.floor((F.col("i") + 1) * F.col("b") / F.col("n")).cast("int")
+    parts = F.explode(F.sequence(F.lit(0), F.col("n") - 1))
+
+    def key(name: Column, at: Column) -> Column:
+        return F.xxhash64("type", "b", "n", "i", F.substr(name, at + 1, F.col("size")))
+
+    own = there.join(F.broadcast(plan.select("type", "b", "n").distinct()), ["type", "b"]).select("*", parts.alias("i")).withColumn("size", ends - starts)
+    own = own.select(key(F.col("lower"), starts).alias("key"), F.col("hash").alias("o"), F.col("letters").alias("own_letters"))
+    more, i, edits = F.col("a") - F.col("b"), F.col("i"), F.col("edits")
+    few = F.col("n") <= edits  # shorter than it takes to have a part more than edits
+    low = F.when(few, (more - edits) / 2).otherwise(F.greatest(-i, more - edits + i)).cast("int")
+    high = F.when(few, (more + edits) / 2).otherwise(F.least(i, more + edits - i)).cast("int")
+    ask = asked.join(F.broadcast(plan), ["type", "a"]).select("*", parts.alias("i")).withColumn("size", ends - starts).withColumn("start", starts)
+    ask = ask.select("*", F.explode(F.when(low <= high, F.sequence(low, high))).alias("shift")).withColumn("at", F.col("start") + F.col("shift"))
+    ask = ask.filter(few | (F.pmod(F.col("shift") - i, F.lit(2)) == 0)).filter("at >= 0 and at + size <= a")
+    ask = ask.select(key(F.col("lower"), F.col("at")).alias("key"), F.col("hash").alias("w"), "letters", "edits")
+    alike = F.bit_count(F.col("letters").bitwiseXOR(F.col("own_letters"))) <= F.col("edits")
+    return ask.join(own, "key").filter(alike).select("w", "o").distinct()
 
 
 def similar_names(wanted: DataFrame, owned: DataFrame, threshold: float) -> DataFrame:
     """Pairs of rows of ``wanted`` (type, wanted, ...) and ``owned`` (type, own, ...) whose names' ratio is ``threshold`` or more, with ``score``.
 
     The ratio is twice the matching characters over both lengths a and b. So at least
-    m = ceil(threshold (a + b) / 2) characters match, in blocks between which a
-    character of one name or the other is left over: a + b - 2m + 1 blocks at most, of which the longest
-    has m / (a + b - 2m + 1) characters or more. Pairs meet by type, length and one common
-    substring of that many characters, each pair at its first one only. As no more characters can match
-    than the multisets have in common, that is looked at before scoring, which is the only step in Python.
+    m = ceil(threshold (a + b) / 2) characters match in the same order, and at most
+    d = a + b - 2m are left over, each an insertion or a deletion. The second name is
+    cut into d + 1 parts. For the first part i before whose end are at most i of them, exactly
+    i lie before it and none in it: it stands in the other name, shifted by i or i less an even
+    number to either side, and what follows must make up for the shift with the other d - i.
+    A second name of fewer characters than d + 1 is cut into single characters, of which one stands
+    somewhere that d allows. Distinct names meet by hashes of such parts in narrow rows and
+    are dropped where counts of their characters differ by more than d. Hashes that collide only add pairs, as
+    what is left is scored by its names, which is the only step in Python.
     """
-    factor = threshold / (2 - threshold)
-
-    def matching(total: Column) -> Column:
-        return F.ceil(total * threshold / 2 - 1e-9)
-
-    def longest(total: Column) -> Column:
-        return F.ceil(matching(total) / (total - 2 * matching(total) + 1)).cast("int")
 
-    def sizes(length: str) -> Column:
-        return F.sequence(F.ceil(F.col(length) * factor - 1e-9), F.floor(F.col(length) / factor + 1e-9))
+    def names(df: DataFrame, name: str, length: str) -> DataFrame:
+        lower = df.filter(F.col(name) != "").select("type", name).distinct().withColumn("lower", F.lower(name))
+        return lower.select("type", name, "lower", F.length("lower").alias(length), F.xxhash64("type", name).alias("hash"), _letters(F.col("lower")).alias("letters"))
 
-    ask = wanted.filter("wanted <> ''").withColumn("__name", F.lower("wanted")).withColumn("__a", F.length("__name").cast("long")).withColumn("__tokens", _tokens(F.col("wanted")))
-    ask = ask.withColumn("__b", F.explode(sizes("__a"))).withColumn("__q", longest(F.col("__a") + F.col("__b"))).withColumn("__runs", _runs(F.col("__name"), F.col("__q")))
-    there = owned.filter("own <> ''").withColumn("__own", F.lower("own")).withColumn("__b", F.length("__own").cast("long")).withColumn("__own_tokens", _tokens(F.col("own")))
-    there = there.withColumn("__q", F.explode(F.array_distinct(F.transform(sizes("__b"), lambda a: longest(a + F.col("__b")))))).withColumn("__own_runs", _runs(F.col("__own"), F.col("__q")))
-    met = ask.withColumn("__run", F.explode("__runs")).join(there.withColumn("__run", F.explode("__own_runs")), ["type", "__b", "__q", "__run"])
-    first = F.array_min(F.array_intersect("__runs", "__own_runs")) == F.col("__run")
-    enough = F.size(F.array_intersect("__tokens", "__own_tokens")) >= matching(F.col("__a") + F.col("__b"))
+    asked, there = names(wanted, "wanted", "a"), names(owned, "own", "b")
+    met = _meetings(asked, there, _plan(asked, there, threshold))
+    pairs = met.join(asked.select("type", "wanted", F.col("hash").alias("w")), "w").join(there.select(F.col("type").alias("own_type"), "own", F.col("hash").alias("o")), "o")
+    pairs = pairs.filter("type <=> own_type").select("type", "wanted", "own")
     # Names without characters match each other only.
-    empty = wanted.filter("wanted = ''").join(owned.filter("own = ''"), "type")
-    columns = [*wanted.columns, *(c for c in owned.columns if c != "type")]
-    pairs = met.filter(first & enough).select(columns).union(empty.select(columns))
-    return pairs.withColumn("score", similarity(F.col("wanted"), F.col("own"))).filter(F.col("score") >= threshold)
+    empty = wanted.filter("wanted = ''").select("type", "wanted").distinct().join(owned.filter("own = ''").select("type", "own").distinct(), "type")
+    scored = pairs.union(empty).withColumn("score", similarity(F.col("wanted"), F.col("own"))).filter(F.col("score") >= threshold)
+    columns = [*wanted.columns, *(c for c in owned.columns if c != "type"), "score"]
+    return scored.join(wanted, ["type", "wanted"]).join(owned, ["type", "own"]).select(columns)
 
 
 def _names_of(registry: DataFrame) -> DataFrame:
@@ -122,27 +147,28 @@ class Resolver:
         self.places, self.confirmed = places, confirmed
         self.names: dict[tuple[str, str], str] = {}  # (type, name) that this pass has given to entries
         self.new: dict[str, int] = {}  # entries that it has made, in order
-        self.entry: dict[int, str] = {}  # entities whose names an entry has got here
+        self.entry: dict[int, tuple[int, str]] = {}  # of names that an entry has got here: when, and the entry
 
-    def take(self, key: int, id_: str, type_: str, name: str, known: list[tuple], earlier: dict[int, float]) -> tuple[str, str]:
-        """The canonical id of an entity, and the step that gave it.
+    def take(self, key: int, id_: str, type_: str, name: str, known: list[tuple], alike: dict[int, float]) -> tuple[str, str]:
+        """The canonical id of an entity whose name is number ``key``, and the step that gave it.
 
         ``known`` are similar names of the registry (entry, place of the name, score),
-        ``earlier`` the scores of similar earlier entities by their keys.
+        ``alike`` the scores of other entities' similar names by the numbers of these.
         """
         if id_ in self.new:
             return id_, "id"
         if (type_, name) in self.names:
             return self.names[type_, name], "batch"
         scores = {found: score for found, _, score in sorted(known, key=lambda k: -k[1])}
-        for other in sorted(earlier.keys() & self.entry.keys()):
-            scores.setdefault(self.entry[other], earlier[other])
+        for other in sorted(alike.keys() & self.entry.keys(), key=self.entry.__getitem__):
+            scores.setdefault(self.entry[other][1], alike[other])
         best = min(scores, key=lambda f: (-scores[f], f in self.new, self.new.get(f, self.places.get(f, 0))), default=None)
         same = (id_, best) in self.confirmed
         if not same:
             self.new[id_] = len(self.new)
-        self.names[type_, name] = self.entry[key] = best if same else id_
-        return self.entry[key], "fuzzy" if same else "new"
+        self.names[type_, name] = best if same else id_
+        self.entry[key] = len(self.entry), self.names[type_, name]
+        return self.names[type_, name], "fuzzy" if same else "new"
 
 
 def disambiguate(entities: DataFrame, registry: DataFrame, verdicts: DataFrame | None = None, threshold: float = 0.7) -> DataFrame:
@@ -184,19 +210,22 @@ def _pass(unknown: DataFrame, registry: DataFrame, verdicts: DataFrame, threshol
     """id, type, name, batch_first, own_step of each distinct unknown entity."""
     distinct = unknown.groupBy("id", "type", "name").agg(F.min("ord").alias("ord"))
     units = scratch.materialise(global_rank(distinct, [F.col("ord"), F.col("id"), F.col("name")], "key"), folder, "units").drop("ord")
-    asking = units.select("key", "type", F.col("name").alias("wanted"))
+    # What is alike is looked for once a name, which has the number of its first entity.
+    named = scratch.materialise(units.groupBy("type", "name").agg(F.min("key").alias("first")), folder, "names")
+    asking = named.select("first", "type", F.col("name").alias("wanted"))
     entries = scratch.materialise(global_rank(registry.select("id", "type", "name", "aliases", "ord"), [F.col("ord"), F.col("id")], "place"), folder, "registry")
-    known = scratch.materialise(similar_names(asking, _names_of(entries.drop("ord").withColumnRenamed("place", "ord")), threshold).select("key", "found", F.col("ord").alias("place"), "pos", "score"), folder, "known")
-    others = units.select("type", F.col("key").alias("other"), F.col("name").alias("own"))
-    alike = scratch.materialise(similar_names(asking, others, threshold).filter("other < key").select("key", "other", "score"), folder, "alike")
-    same = [units.select(*by, "key").join(units.groupBy(*by).agg(F.min("key").alias("first")), by).select(F.col("key").alias("a"), F.col("first").alias("b")) for by in (["type", "name"], ["id"])]
+    known = scratch.materialise(similar_names(asking, _names_of(entries.drop("ord").withColumnRenamed("place", "ord")), threshold).select("first", "found", F.col("ord").alias("place"), "pos", "score"), folder, "known")
+    others = named.select("type", F.col("first").alias("other"), F.col("name").alias("own"))
+    alike = scratch.materialise(similar_names(asking, others, threshold).filter("other <> first").select("first", "other", "score"), folder, "alike")
+    numbered = scratch.materialise(units.join(named, ["type", "name"]), folder, "numbered")
+    by_id = numbered.groupBy("id").agg(F.min("first").alias("b"))
     # Entities that could take up one entry's aliases are alike themselves, or don't meet through them.
-    links = alike.select(F.col("key").alias("a"), F.col("other").alias("b")).union(same[0]).union(same[1])
-    label = components(links, folder, "alike").withColumnRenamed("node", "key")
-    by_key = known.groupBy("key").agg(F.collect_list(F.struct("found", "place", "pos", "score")).alias("known"))
-    earlier = alike.groupBy("key").agg(F.collect_list(F.struct("other", "score")).alias("earlier"))
+    links = alike.select(F.col("first").alias("a"), F.col("other").alias("b")).union(numbered.join(by_id, "id").select("first", "b"))
+    label = components(links, folder, "alike").withColumnRenamed("node", "first")
+    by_name = known.groupBy("first").agg(F.collect_list(F.struct("found", "place", "pos", "score")).alias("known"))
+    around = alike.groupBy("first").agg(F.collect_list(F.struct("other", "score")).alias("alike"))
     told = verdicts.select(F.col("entity").alias("id"), "found").groupBy("id").agg(F.collect_set("found").alias("confirmed"))
-    rows = units.join(label, "key").join(by_key, "key", "left").join(earlier, "key", "left").join(told, "id", "left")
+    rows = numbered.join(label, "first").join(by_name, "first", "left").join(around, "first", "left").join(told, "id", "left")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = pdf.sort_values("key").to_dict("records")
@@ -206,8 +235,8 @@ def _pass(unknown: DataFrame, registry: DataFrame, verdicts: DataFrame, threshol
         out = []
         for r in rows:
             known = [(k["found"], k["pos"], k["score"]) for k in listed(r["known"])]
-            earlier = {e["other"]: e["score"] for e in listed(r["earlier"])}
-            out.append((r["id"], r["type"], r["name"], *resolver.take(r["key"], r["id"], r["type"], r["name"], known, earlier)))
+            alike = {e["other"]: e["score"] for e in listed(r["alike"])}
+            out.append((r["id"], r["type"], r["name"], *resolver.take(r["first"], r["id"], r["type"], r["name"], known, alike)))
         return pd.DataFrame(out, columns=["id", "type", "name", "batch_first", "own_step"])
 
     # Many small components share a task's pass.

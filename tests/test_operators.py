@@ -248,6 +248,38 @@ def test_disambiguation_is_the_sequential_pass(spark, seed):
     assert [r["id"] for r in grown] == list(known)
 
 
+@pytest.mark.parametrize("threshold", [0.3, 0.5, 0.7, 0.9])
+def test_similar_names_are_all_found(spark, threshold):
+    from difflib import SequenceMatcher
+
+    rng = random.Random(int(threshold * 10))
+    names = ["".join(rng.choices("abcdé ", k=rng.randint(0, 25))) for _ in range(40)]
+    edit = lambda n, i: n[:i] + rng.choice(["", "x", "Ab"]) + n[i + rng.randint(0, 2) :]
+    names += [edit(edit(n, rng.randint(0, len(n))), rng.randint(0, len(n))) for n in names]
+    left, right = [(k, rng.choice("PO"), n) for k, n in enumerate(names)], [(rng.choice("PO"), n, k) for k, n in enumerate(names)]
+    wanted, owned = spark.createDataFrame(left, "key long, type string, wanted string"), spark.createDataFrame(right, "type string, own string, other long")
+    found = {(r["key"], r["other"]): r["score"] for r in resolve.similar_names(wanted, owned, threshold).collect()}
+    ratio = lambda a, b: SequenceMatcher(None, a.lower(), b.lower()).ratio()
+    want = {(k, o): ratio(a, b) for k, t, a in left for u, b, o in right if t == u}
+    assert found == {pair: r for pair, r in want.items() if r >= threshold}
+
+
+def test_entities_of_one_name_are_no_pairs(spark, monkeypatch):
+    rows = {}
+
+    def counted(df, folder, name, inner=scratch.materialise):
+        out = inner(df, folder, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(scratch, "materialise", counted)
+    asked = spark.createDataFrame([(f"e{k}", "P", "Johnson", k) for k in range(200)] + [("f", "P", "Johnsen", 200)], "id string, type string, name string, ord long")
+    registry = spark.createDataFrame([("r", "Brown", "P", [], 0)], "id string, name string, type string, aliases array<string>, ord long")
+    out = resolve.disambiguate(asked, registry, spark.createDataFrame([("f", "e0")], "entity string, found string"))
+    steps = Counter((r["canonical"], r["step"]) for r in out.collect())
+    assert steps == {("e0", "new"): 1, ("e0", "batch"): 199, ("e0", "fuzzy"): 1} and rows["alike"] == 2
+
+
 # --- timeline --------------------------------------------------------------------------
 
 
