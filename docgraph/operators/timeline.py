@@ -25,7 +25,9 @@ def date_links(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     direct = near.join(types, "id").filter(F.col("type").isin("Event", "Place")).select("date", "type", "id", "ord")
     at = edges.filter(F.contains("predicate", F.lit("occurredAt")) | F.contains("predicate", F.lit("locatedIn"))).select(F.col("subject").alias("id"), F.col("object").alias("place"))
     places = types.filter(F.col("type") == "Place").select(F.col("id").alias("place"))
-    beyond = near.join(at, "id").join(places, "place", "left_semi").select("date", F.lit("Place").alias("type"), F.col("place").alias("id"), "ord")
+    # An edge may come many times; each of them would repeat all dates of its neighbour.
+    at = at.distinct().join(places, "place", "left_semi")
+    beyond = near.join(at, "id").select("date", F.lit("Place").alias("type"), F.col("place").alias("id"), "ord")
     return direct.union(beyond).groupBy("date", "type", "id").agg(F.min("ord").alias("ord"))
 
 

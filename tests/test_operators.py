@@ -283,6 +283,22 @@ def test_entities_of_one_name_are_no_pairs(spark, monkeypatch):
 # --- timeline --------------------------------------------------------------------------
 
 
+def test_repeated_edges_of_a_date_are_no_pairs(spark):
+    nodes = spark.createDataFrame([("e", "Event"), ("p", "Place"), *((f"d{k}", "Date") for k in range(50))], "id string, type string")
+    edges = spark.createDataFrame([("e", "woo:relatedTo", f"d{k}", k) for k in range(50)] + [("e", "woo:occurredAt", "p", k) for k in range(400)], "subject string, predicate string, object string, ord int")
+    found = timeline.date_links(nodes, edges)
+    assert sorted(tuple(r) for r in found.collect()) == sorted([(f"d{k}", t, i, k) for k in range(50) for t, i in (("Event", "e"), ("Place", "p"))])
+    most, below = 0, [found._jdf.queryExecution().executedPlan()]
+    while below:
+        plan = below.pop()
+        kind = plan.getClass().getSimpleName()
+        inner = plan.executedPlan() if kind == "AdaptiveSparkPlanExec" else plan.plan() if kind.endswith("QueryStageExec") else None
+        below += [inner] if inner else [plan.children().apply(i) for i in range(plan.children().size())]
+        rows = plan.metrics().get("numOutputRows")
+        most = max(most, rows.get().value() if "Join" in kind and rows.isDefined() else 0)
+    assert 0 < most <= 400
+
+
 def test_visible_items_equal_a_scan(spark):
     rng = random.Random(8)
     rows = [(f"i{k}", "source" if k % 9 == 0 else "date", 1900 + rng.randrange(60), f"19{rng.randrange(60):02}-{rng.randint(1, 12):02}", "video" if k % 18 == 0 else "pdf", k, rng.random() < 0.5) for k in range(120)]
