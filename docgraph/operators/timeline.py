@@ -38,7 +38,10 @@ def date_items(nodes: DataFrame, edges: DataFrame, mentions: DataFrame, sources:
     source; else the date's own text. The source type is that of the first source
     with a thumbnail, or of the last known source before.
     """
-    dates = nodes.filter(F.col("type") == "Date").select("id", F.col("name").alias("label"), parse_date(F.col("name")).alias("d")).filter("d is not null")
+    own = nodes.filter(F.col("type") == "Date").select("id", F.col("name").alias("label"))
+    # Each text is parsed once, and not in a filter: that would be pushed down to where the text is made and evaluated for all uses of it.
+    parsed = F.filter(F.array(parse_date(F.col("label"))), lambda d: d.isNotNull())
+    dates = own.join(own.select("label").distinct().select("label", F.explode(parsed).alias("d")), "label")
     links = date_links(nodes, edges).join(nodes.select("id", "name"), "id")
     linked = links.groupBy(F.col("date").alias("id")).agg(
         F.count_if(F.col("type") == "Event").alias("n_events"),

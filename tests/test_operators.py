@@ -299,6 +299,16 @@ def test_repeated_edges_of_a_date_are_no_pairs(spark):
     assert 0 < most <= 400
 
 
+def test_dates_are_not_parsed_in_filters(spark):
+    nodes = spark.range(3).select(F.concat(F.lit("d"), "id").alias("id"), F.lit("Date").alias("type"), F.concat(F.lit("May "), F.col("id") + 1998).alias("name"))
+    edges = spark.createDataFrame([], "subject string, predicate string, object string, ord int")
+    sources = spark.createDataFrame([], "source string, title string, type string, thumbnail string")
+    items = timeline.date_items(nodes, edges, spark.createDataFrame([], "id string, source string, ord int"), sources)
+    assert sorted(r["iso_start"] for r in items.collect()) == ["1998-05", "1999-05", "2000-05"]
+    plan = items._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "lambda" in line]
+
+
 def test_visible_items_equal_a_scan(spark):
     rng = random.Random(8)
     rows = [(f"i{k}", "source" if k % 9 == 0 else "date", 1900 + rng.randrange(60), f"19{rng.randrange(60):02}-{rng.randint(1, 12):02}", "video" if k % 18 == 0 else "pdf", k, rng.random() < 0.5) for k in range(120)]
