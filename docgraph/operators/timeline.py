@@ -73,7 +73,11 @@ def date_items(nodes: DataFrame, edges: DataFrame, mentions: DataFrame, sources:
 
 
 def source_items(sources: DataFrame, place_mentions: DataFrame) -> DataFrame:
-    """Timeline items of sources (source, slug, title, type, thumbnail, date_added) with a year in their slug or date."""
+    """Timeline items of sources (source, slug, title, type, thumbnail, date_added) with a year in their slug or date.
+
+    Without a title their ``label`` is shown, if they have that column, else their slug.
+    """
+    shown = F.coalesce("title", "label", "slug") if "label" in sources.columns else F.coalesce("title", "slug")
     places = place_mentions.groupBy("source").agg(F.count("*").alias("n_places"))
     year = F.coalesce(names.year_from_slug(F.col("slug")), F.substring("date_added", 1, 4).try_cast("int"))
     text = F.lpad(F.col("year").cast("string"), 4, "0")
@@ -81,8 +85,8 @@ def source_items(sources: DataFrame, place_mentions: DataFrame) -> DataFrame:
     return dated.join(places, "source", "left").select(
         F.col("source").alias("id"),
         F.lit("source").alias("type"),
-        F.coalesce("title", "slug").alias("label"),
-        F.coalesce("title", "slug").alias("display_label"),
+        shown.alias("label"),
+        shown.alias("display_label"),
         text.alias("iso_start"),
         text.alias("iso_end"),
         F.lit("year").alias("precision"),

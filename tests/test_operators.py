@@ -309,6 +309,21 @@ def test_dates_are_not_parsed_in_filters(spark):
     assert not [line for line in plan.splitlines() if "Filter" in line and "lambda" in line]
 
 
+def test_keys_that_look_like_years_match_the_sql(spark, tmp_path):
+    import duckdb
+
+    customers = "SELECT r AS c_custkey, 'Customer ' || r AS c_name, (r % 25)::INT AS c_nationkey, 'S' || r % 5 AS c_mktsegment FROM range(1795, 1812) t(r)"
+    orders = "SELECT r AS o_orderkey, 1795 + r % 17 AS o_custkey, TIMESTAMP '1995-01-01' + to_days((r * 7)::INT) AS o_orderdate FROM range(60) t(r)"
+    con = duckdb.connect()
+    for name, sql in (("customer", customers), ("orders", orders)):
+        con.execute(f"COPY ({sql}) TO '{tmp_path}/{name}.parquet' (FORMAT parquet)")
+        con.execute(f"CREATE TABLE {name} AS {sql}")
+    for name in ("timeline_spans", "timeline_items"):
+        found = view_queries.QUERIES[name](spark, str(tmp_path))
+        want = con.execute(f"SELECT {', '.join(found.columns)} FROM ({view_queries.ORACLES[name]})").fetchall()
+        assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, want))
+
+
 def test_visible_items_equal_a_scan(spark):
     rng = random.Random(8)
     rows = [(f"i{k}", "source" if k % 9 == 0 else "date", 1900 + rng.randrange(60), f"19{rng.randrange(60):02}-{rng.randint(1, 12):02}", "video" if k % 18 == 0 else "pdf", k, rng.random() < 0.5) for k in range(120)]
